@@ -50,12 +50,12 @@ def link_markup(content: Column, spans: Column) -> Column:
         """A place inside a character moves to its start."""
         return F.when(F.substring(units, at * 4 + 1, 2).between("DC", "DF"), at - 1).otherwise(at)
 
-    def resolve(span: Column) -> Column:
+    def resolve(span: Column, place: Column) -> Column:
         start, end = edge(span["offset"]), edge(span["offset"] + span["length"])
         marked = F.decode(F.unhex(cut(start, end - start)), "UTF-16BE")
         address = F.when(marked.startswith("http"), marked).otherwise(F.concat(F.lit("https://"), marked))
         url = F.when(span["kind"] == "url", address).otherwise(span["url"])
-        return F.struct((-span["offset"]).alias("back"), start.alias("start"), end.alias("end"), url.alias("url"))
+        return F.struct((-span["offset"]).alias("back"), place, start.alias("start"), end.alias("end"), url.alias("url"))
 
     known = F.filter(spans, lambda s: s["kind"].isin("url", "text_url") & (s["offset"] + s["length"] <= size))
     from_back = F.array_sort(F.transform(known, resolve))

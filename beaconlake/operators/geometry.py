@@ -77,7 +77,7 @@ def to_features(
         F.struct(layer_name.alias("_layer"), *given).alias("properties"),
     )
     return located(rows, lat_col, lon_col).select(
-        layer_name.alias("layer"), F.col(id_col).alias("feature_id"), F.to_json(feature).alias("feature")
+        layer_name.alias("layer"), F.col(id_col).alias("feature_id"), F.to_json(feature, {"ignoreNullFields": "false"}).alias("feature")
     )
 
 
