@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconlake.functions import strict
+from beaconlake.functions.pieces import piece_of
 from beaconlake.operators import feeds
 
 PATH_TYPE = "array<array<struct<x:double,y:double>>>"
@@ -87,7 +88,7 @@ def to_collections(features: DataFrame, size: int = COLLECTION_SIZE) -> DataFram
     Ids are unique in a layer, so no collection exceeds `size` features, however large
     the layer; a layer with smaller ids is one collection.
     """
-    part = F.floor(F.col("feature_id") / F.lit(size)).alias("part")
+    part = piece_of("feature_id", size).alias("part")
     ordered = F.array_sort(F.collect_list(F.struct("feature_id", "feature")))
     body = F.array_join(F.transform(ordered, lambda f: f["feature"]), ",")
     return (

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from beaconlake.functions.pieces import piece_of
+
 # Fixed value: failures in a row that open the breaker, after which the count starts anew.
 TRIP_AT = 5
 PIECE = 1 << 22
@@ -19,7 +21,7 @@ def failure_streaks(fetches: DataFrame, piece: int = PIECE) -> DataFrame:
     order = (Window.unboundedPreceding, Window.currentRow)
     in_piece = Window.partitionBy("source", "piece").orderBy("seq").rowsBetween(*order)
     runs = Window.partitionBy("source", "piece", "run").orderBy("seq").rowsBetween(*order)
-    cut = fetches.withColumn("piece", F.floor(F.col("seq") / F.lit(piece)))
+    cut = fetches.withColumn("piece", piece_of("seq", piece))
     local = cut.withColumn("run", F.count(F.when(F.col("ok"), 1)).over(in_piece)).withColumn(
         "failed", F.count(F.when(~F.col("ok"), 1)).over(runs)
     )

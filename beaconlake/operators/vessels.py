@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beaconlake.functions import strict
+from beaconlake.functions.pieces import piece_of
 from beaconlake.operators import feeds
 
 PIECE = 1 << 22
@@ -186,7 +187,7 @@ def _since_last_set(updates: DataFrame, keys: list[str], order: list[str]) -> Da
 
 
 def _pieces(updates: DataFrame, piece: int) -> DataFrame:
-    cut = updates.withColumn("piece", F.floor(F.col("seq") / F.lit(piece)))
+    cut = updates.withColumn("piece", piece_of("seq", piece))
     return _since_last_set(cut, ["mmsi", "piece"], ["seq", "pos"])
 
 

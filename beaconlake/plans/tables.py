@@ -8,10 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from beaconlake.functions.pieces import piece_of
+
 PAGE = 50  # records per derived payload
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # the tables hold times without a zone
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -63,7 +66,7 @@ def pages_of(
 ) -> DataFrame:
     """Raw payloads with `size` consecutive records each, in the order of the unique key."""
     listed = rows.select(
-        F.floor(F.col(key) / F.lit(size)).alias("seq"), F.col(key).alias("key"), F.col(fetched_at).alias("at"),
+        piece_of(key, size).alias("seq"), F.col(key).alias("key"), F.col(fetched_at).alias("at"),
         record.alias("record"),
     )
     ordered = F.array_sort(F.collect_list(F.struct("key", "record")))
