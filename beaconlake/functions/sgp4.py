@@ -2,9 +2,9 @@
 
 The published model (Spacetrack Report #3 with the corrections of Vallado et al.,
 AIAA 2006-6753), near-earth and deep-space, written as lists of `name = expression`
-that Spark evaluates inside generated code: no Python touches a row. Later lines use
-earlier ones through lateral column aliases. Lines that only matter for deep-space
-orbits (period of 225 minutes or more) are evaluated for those rows only.
+that Spark evaluates inside generated code: no Python touches a row. Lines that only
+matter for deep-space orbits (period of 225 minutes or more) are evaluated for those
+rows only.
 """
 
 from __future__ import annotations
@@ -41,19 +41,50 @@ WGS84 = Gravity(398600.5, 6378.137, 0.00108262998905, -0.00000253215306, -0.0000
 _FLOAT = re.compile(r"(?<![\w.])(\d+\.\d*(?:e[+-]?\d+)?|\d+e[+-]?\d+)(?![\w.])", re.I)
 
 
-def _lines(text: str) -> list[tuple[str, str]]:
+def _lines(text: str, only_if: str | None = None) -> list[tuple[str, str, str | None]]:
     """`name = expression` lines; decimal numbers become double literals."""
-    pairs = []
-    for line in text.strip().splitlines():
-        if line.strip():
-            name, expression = line.split("=", 1)
-            pairs.append((name.strip(), _FLOAT.sub(r"\1D", expression.strip())))
-    return pairs
+    parts = [line.split("=", 1) for line in text.strip().splitlines() if line.strip()]
+    return [(name.strip(), _FLOAT.sub(r"\1D", value.strip()), only_if) for name, value in parts]
 
 
-def _compute(df: DataFrame, text: str, only_if: str | None = None) -> DataFrame:
-    guard = "CASE WHEN {0} THEN {1} END" if only_if else "{1}"
-    return df.selectExpr("*", *[f"{guard.format(only_if, e)} AS {n}" for n, e in _lines(text)])
+def _names(expression: str) -> set[str]:
+    return set(re.findall(r"(?<![.\w'])[A-Za-z_]\w*", expression))
+
+
+def _evaluate(df: DataFrame, lines: list[tuple[str, str, str | None]], wanted: list[str]) -> DataFrame:
+    """Add the lines as columns, one projection per step of dependency, and keep `wanted`.
+
+    A value used once is written into the line that uses it, and a column is dropped
+    after its last use, so that the plan stays short and narrow.
+    """
+    uses: dict[str, list[int]] = {}
+    for place, (_, expression, _) in enumerate(lines):
+        for name in _names(expression):
+            uses.setdefault(name, []).append(place)
+    inlined: dict[str, str] = {}
+    steps: dict[str, int] = {name: 0 for name in df.columns}
+    columns: list[tuple[int, str, str]] = []
+    for name, expression, only_if in lines:
+        for part in _names(expression) & set(inlined):
+            expression = re.sub(rf"(?<![.\w'])\b{part}\b", lambda _: f"({inlined[part]})", expression)
+        once = len(uses.get(name, [])) == 1 and name not in wanted and "->" not in expression
+        if once and lines[uses[name][0]][2] == only_if and "->" not in lines[uses[name][0]][1]:
+            inlined[name] = expression
+            continue
+        sources = _names(expression) | ({only_if} if only_if else set())
+        steps[name] = 1 + max((steps[n] for n in sources if n in steps), default=0)
+        columns.append((steps[name], name, f"CASE WHEN {only_if} THEN {expression} END" if only_if else expression))
+    last_use = {name: max(steps.values()) + 1 for name in wanted}
+    for step, _, expression in columns:
+        for name in _names(expression) & set(steps):
+            last_use[name] = max(last_use.get(name, 0), step)
+    query, present = "{rows}", list(df.columns)
+    for step in range(1, max(steps.values()) + 1):
+        present = [name for name in present if last_use.get(name, 0) > step]
+        new = {n: e for at, n, e in columns if at == step}
+        query = f"(SELECT {', '.join(present + [f'{e} AS {n}' for n, e in new.items()])} FROM {query})"
+        present += new
+    return df.sparkSession.sql(f"SELECT {', '.join(wanted)} FROM {query}", rows=df)
 
 
 def _initial(g: Gravity) -> str:
@@ -402,9 +433,10 @@ argp_p = CASE WHEN steep THEN argp_3 + pgh - cos_p * ph / sin_p ELSE xls - mean_
 
 def _short_period(g: Gravity) -> str:
     j3oj2 = g.j3 / g.j2
-    kepler = "\n".join(
-        f"e{i + 1} = e{i} + greatest(-0.95, least(0.95, (u - aynl * cos(e{i}) + axnl * sin(e{i}) - e{i}) / nullif(1.0 - cos(e{i}) * axnl - sin(e{i}) * aynl, 0.0)))"
-        for i in range(10)
+    # Ten rounds of Newton's method on Kepler's equation.
+    kepler = (
+        "e + greatest(-0.95, least(0.95, (u - aynl * cos(e) + axnl * sin(e) - e)"
+        " / nullif(1.0 - cos(e) * axnl - sin(e) * aynl, 0.0)))"
     )
     return f"""
 turned = deep AND incl_p < 0.0
@@ -421,17 +453,16 @@ axnl = ec * cos(arg)
 inv = 1.0 / nullif(am * (1.0 - ec * ec), 0.0)
 aynl = ec * sin(arg) + inv * aycof
 u = (mea + arg + inv * xlcof * axnl) % {TWO_PI!r}
-e0 = u
-{kepler}
-ecose = axnl * cos(e10) + aynl * sin(e10)
-esine = axnl * sin(e10) - aynl * cos(e10)
+ea = aggregate(sequence(1, 10), u, (e, i) -> {kepler})
+ecose = axnl * cos(ea) + aynl * sin(ea)
+esine = axnl * sin(ea) - aynl * cos(ea)
 el2 = axnl * axnl + aynl * aynl
 plat = am * (1.0 - el2)
 rl = am * (1.0 - ecose)
 betal = sqrt(1.0 - el2)
 es = esine / (1.0 + betal)
-sinu = am / nullif(rl, 0.0) * (sin(e10) - aynl - axnl * es)
-cosu = am / nullif(rl, 0.0) * (cos(e10) - axnl + aynl * es)
+sinu = am / nullif(rl, 0.0) * (sin(ea) - aynl - axnl * es)
+cosu = am / nullif(rl, 0.0) * (cos(ea) - axnl + aynl * es)
 sin2u = 2.0 * cosu * sinu
 cos2u = 1.0 - 2.0 * sinu * sinu
 q1 = 0.5 * {g.j2!r} / nullif(plat, 0.0)
@@ -469,19 +500,20 @@ def propagate(orbits: DataFrame, minutes: str, gravity: Gravity = WGS84) -> Data
         F.radians("mean_anomaly_deg").alias("mean"),
         F.when(F.col("usable"), F.col("mean_motion") * (TWO_PI / 1440.0)).alias("kozai"),
     )
-    df = _compute(inputs, _initial(gravity))
-    df = _compute(df, _SECULAR)
-    df = _compute(df, _THIRD_BODIES, "deep")
-    df = _compute(df, _third_body("s", 2.9864797e-6, ZES), "deep")
-    df = _compute(df, _third_body("l", 4.7968065e-7, ZEL), "deep")
-    df = _compute(df, _third_body_rates("s", ZNS) + _third_body_rates("l", ZNL), "deep")
-    df = _compute(df, _resonance(gravity), "deep")
-    df = _compute(df, _integrated(), "deep")
-    df = _compute(df, _drag(gravity))
-    df = _compute(df, _third_body_periodics("s", ZNS, ZES) + _third_body_periodics("l", ZNL, ZEL), "deep")
-    df = _compute(df, _PERIODICS, "deep")
-    df = _compute(df, _short_period(gravity))
-    axes = {
-        f"{axis}_km": F.expr(f"CASE WHEN NOT broken THEN rk * {axis}u * {gravity.radius!r}D END") for axis in "xyz"
-    }
-    return df.select("given.*", *[column.alias(name) for name, column in axes.items()])
+    lines = (
+        _lines(_initial(gravity))
+        + _lines(_SECULAR)
+        + _lines(_THIRD_BODIES, "deep")
+        + _lines(_third_body("s", 2.9864797e-6, ZES) + _third_body("l", 4.7968065e-7, ZEL), "deep")
+        + _lines(_third_body_rates("s", ZNS) + _third_body_rates("l", ZNL), "deep")
+        + _lines(_resonance(gravity), "deep")
+        + _lines(_integrated(), "deep")
+        + _lines(_drag(gravity))
+        + _lines(_third_body_periodics("s", ZNS, ZES) + _third_body_periodics("l", ZNL, ZEL), "deep")
+        + _lines(_PERIODICS, "deep")
+        + _lines(_short_period(gravity))
+    )
+    df = _evaluate(inputs, lines, ["given", "broken", "rk", "xu", "yu", "zu"])
+    axes = [F.expr(f"CASE WHEN NOT broken THEN rk * {a}u * {gravity.radius!r}D END").alias(f"{a}_km") for a in "xyz"]
+    # A generator ends the chain: filters on the result are not rewritten into the model.
+    return df.select("given", F.explode(F.array(F.struct(*axes))).alias("place")).select("given.*", "place.*")

@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beaconlake.functions.pieces import piece_of
+from beaconlake.session import tune
 
 PAGE = 50  # records per derived payload
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")  # the tables hold times without a zone
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

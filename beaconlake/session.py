@@ -7,19 +7,31 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-SETTINGS = {
+# Settings that can change in a running session.
+RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Of duplicate keys in a JSON object the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
+    # Java compiles methods of up to 8000 bytes only; larger generated ones would be interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings the library expects to a session made elsewhere."""
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: int | str = "*", name: str = "beaconlake", **conf: str) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
-    settings = {**SETTINGS, "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", **conf}
+    settings = {**RUNTIME_SETTINGS, "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", **conf}
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
