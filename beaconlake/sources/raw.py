@@ -36,7 +36,7 @@ def write_snapshots(payloads: DataFrame, path: str) -> None:
 def read_snapshots(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
     """Polled snapshots: each file is one payload, its write time the fetch time."""
     reader = spark.readStream if stream else spark.read
-    files = reader.schema("value string, source string, seq bigint").option("wholetext", True).text(path)
+    files = reader.schema("value string, source string, seq bigint").text(path, wholetext=True)
     return files.select("source", "seq", file_time().alias("fetched_at"), F.col("value").alias("payload"))
 
 
