@@ -163,7 +163,7 @@ def _advance(base: Column, naming: Column, blank: Column) -> Column:
         F.when(_named(base["name"]), base)
         .when(naming.isNull(), _meta(F.coalesce(blank, base["name"]), base["ship_type"], base["destination"]))
         .when(naming["act"] == "name", _meta(naming["name"], base["ship_type"], base["destination"]))
-        .otherwise(_meta(naming["name"], F.lit(DUMMY_TYPE).cast("bigint"), F.lit(DUMMY_DESTINATION)))
+        .otherwise(_meta(F.lit(DUMMY_NAME), F.lit(DUMMY_TYPE).cast("bigint"), F.lit(DUMMY_DESTINATION)))
     )
 
 
