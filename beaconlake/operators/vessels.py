@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from beaconlake.functions import strict
 from beaconlake.functions.pieces import piece_of
 from beaconlake.operators import feeds
+from beaconlake.session import staged
 
 PIECE = 1 << 22
 
@@ -221,9 +222,14 @@ def _piece_states(pieces: DataFrame) -> DataFrame:
     )
 
 
-def running_state(updates: DataFrame, piece: int = PIECE) -> DataFrame:
-    """Updates with `state`: name, type and destination known right after each of them."""
-    pieces = _pieces(updates, piece)
+def running_state(updates: DataFrame, piece: int = PIECE, stage: bool = True) -> DataFrame:
+    """Updates with `state`: name, type and destination known right after each of them.
+
+    Updates are read twice, for the piece summaries and for the rows. They are staged
+    first, so that payloads are parsed once; pass `stage=False` for updates that come
+    from a table already.
+    """
+    pieces = _pieces(staged(updates, "vessel-updates") if stage else updates, piece)
     before = F.lag("state").over(Window.partitionBy("mmsi").orderBy("piece"))
     carried = _piece_states(pieces).select("mmsi", "piece", F.coalesce(before, _initial()).alias("carried"))
     joined = pieces.join(carried, ["mmsi", "piece"])
@@ -232,12 +238,12 @@ def running_state(updates: DataFrame, piece: int = PIECE) -> DataFrame:
     )
 
 
-def enriched(updates: DataFrame, piece: int = PIECE) -> DataFrame:
+def enriched(updates: DataFrame, piece: int = PIECE, stage: bool = True) -> DataFrame:
     """Rows of the vessel feeds with static data as of their arrival.
 
     AIS positions keep the name they came with; Digitraffic rows take it from the state.
     """
-    rows = running_state(updates, piece).where("live")
+    rows = running_state(updates, piece, stage).where("live")
     name = F.when(F.col("act") == "dummy", F.col("state.name")).otherwise(F.col("given_name"))
     return rows.select(
         *feeds.LINEAGE, "mmsi", "latitude", "longitude", "sog", "cog", "nav_status",

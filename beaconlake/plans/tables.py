@@ -9,13 +9,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beaconlake.functions.pieces import piece_of
-from beaconlake.session import tune
+from beaconlake.session import spread, tune
 
 PAGE = 50  # records per derived payload
 
+# Tables payloads are derived from, and the column that spreads their rows.
+KEYS = {
+    "events": "event_id", "orders": "o_orderkey", "documents": "doc_id", "pages": "page_id", "part": "p_partkey",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows, KEYS[name]) if name in KEYS else rows
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that can change in a running session.
 RUNTIME_SETTINGS = {
@@ -31,7 +31,14 @@ def tune(spark: SparkSession) -> SparkSession:
 def local_session(cores: int | str = "*", name: str = "beaconlake", **conf: str) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
-    settings = {**RUNTIME_SETTINGS, "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", **conf}
+    settings = {
+        **RUNTIME_SETTINGS,
+        "spark.sql.shuffle.partitions": "8",
+        "spark.ui.enabled": "false",
+        # Noting the Python line of every column expression doubles the time to build a query.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
+        **conf,
+    }
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -57,3 +64,22 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def staged(frame: DataFrame, label: str) -> DataFrame:
+    """Write rows that several branches of a plan read to the shared folder, and read them back.
+
+    Costly extraction then runs once, and a lost executor repeats a table scan only.
+    """
+    path = scratch_path(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def spread(frame: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores if their files give fewer partitions than there are cores.
+
+    Only a table of few row groups is shuffled; a large one is left as it is.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores, key) if frame.rdd.getNumPartitions() < cores else frame
