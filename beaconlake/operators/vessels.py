@@ -306,4 +306,5 @@ def in_boxes(rows: DataFrame, boxes: list[tuple[float, float, float, float]]) ->
 
 def of_message_types(payloads: DataFrame, types: list[str]) -> DataFrame:
     """Payloads of the AIS stream with one of the message types."""
-    return payloads.where(strict.text(strict.parse("payload"), "$.MessageType").isin(types))
+    parsed = payloads.select("*", F.explode(F.array(strict.parse("payload"))).alias("doc"))
+    return parsed.where(strict.text(F.col("doc"), "$.MessageType").isin(types)).drop("doc")

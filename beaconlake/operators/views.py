@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconlake.operators.geometry import located, point
+from beaconlake.session import staged
 
 # Port codes and names, and the order keywords of the grid.
 CHOKEPOINTS = {
@@ -51,12 +52,13 @@ def layer_snapshot(rows: DataFrame, polls: DataFrame, volatile: tuple[str, ...]
     """Rows of the latest poll in which each layer had any.
 
     Volatile layers count only if they have rows in the last poll of all. The latest
-    poll per layer is a small aggregate joined back, so no layer goes through one task.
+    poll per layer is a small staged aggregate joined back: Spark knows its size and
+    broadcasts it, so no layer goes through one task.
     """
     last_poll = polls.agg(F.max("poll_id").alias("last_poll")).scalar()
     newest = rows.groupBy("layer").agg(F.max("poll_id").alias("poll_id"))
     shown = newest.where(~F.col("layer").isin(*volatile) | (F.col("poll_id") == last_poll))
-    return rows.join(shown, ["layer", "poll_id"])
+    return rows.join(staged(shown, "layer-polls"), ["layer", "poll_id"])
 
 
 def port_name(code: Column) -> Column:

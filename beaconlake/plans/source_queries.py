@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconlake.functions import strict
 from beaconlake.operators import feeds, messages, polls, views
 from beaconlake.plans.feed_queries import (
     E, as_text, expected, fred_payloads, n_sql, opensky_payloads, t_sql, o_sql, LABEL_SQL, USGS_LOCATED, usgs_payloads,
@@ -157,7 +156,7 @@ def payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(whole)
     )
     payloads = single(events(spark, sf_dir), "event_id", payload, F.col("event_type"))
-    bad = raw.rejects(payloads, strict.elements(strict.parse("payload"), "$.data"))
+    bad = raw.rejects(payloads, feeds.array_at("$.data"))
     return bad.select("source", "seq", "reason")
 
 

@@ -79,17 +79,20 @@ def total_tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.total_tracked(layer_counts(spark, sf_dir), ["usgs", "opensky", "celestrak"])
 
 
+POLL = 20  # events per poll
+
+
 @query("layer_snapshot", f"""WITH {EVENTS_SQL}, r AS (
-  SELECT CASE WHEN event_type = 'error' THEN 'dark_ships' ELSE event_type END AS layer, event_id // 500 AS poll_id, event_id
-  FROM e WHERE k > 97)
-SELECT * FROM r
+  SELECT event_type || '_' || k // 10 AS layer, event_type, event_id // {POLL} AS poll_id, event_id FROM e)
+SELECT layer, poll_id, event_id FROM r
 QUALIFY poll_id = max(poll_id) OVER (PARTITION BY layer)
-  AND (layer <> 'dark_ships' OR poll_id = (SELECT max(event_id // 500) FROM events))""")
+  AND (event_type <> 'error' OR poll_id = (SELECT max(event_id // {POLL}) FROM events))""")
 def layer_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    polled = events(spark, sf_dir).withColumn("poll_id", piece_of("event_id", 500))
-    layer = F.when(E.event_type == "error", "dark_ships").otherwise(E.event_type)
-    rows = polled.where("k > 97").select(layer.alias("layer"), "poll_id", "event_id")
-    return views.layer_snapshot(rows, polled.select("poll_id"))
+    """Fifty layers over small polls, most of which lack most layers; those of one type are volatile."""
+    layer = F.concat_ws("_", E.event_type, piece_of("k", 10).cast("string"))
+    rows = events(spark, sf_dir).select(layer.alias("layer"), piece_of("event_id", POLL).alias("poll_id"), "event_id")
+    volatile = tuple(f"error_{n}" for n in range(10))
+    return views.layer_snapshot(rows, rows.select("poll_id"), volatile)
 
 
 @query("chokepoints", """

@@ -21,6 +21,9 @@ RUNTIME_SETTINGS = {
 }
 
 
+_local_folder: list[str] = []
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the settings the library expects to a session made elsewhere."""
     for key, value in RUNTIME_SETTINGS.items():
@@ -56,9 +59,9 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="beaconlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not _local_folder:
+        _local_folder.append(tempfile.mkdtemp(prefix="beaconlake-"))
+    return _local_folder[0]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

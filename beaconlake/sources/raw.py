@@ -7,10 +7,13 @@ order and to cut a long history into pieces of bounded size.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from beaconlake.functions import strict
+from beaconlake.session import staged
 
 RAW_SCHEMA = "source string, seq bigint, fetched_at timestamp, payload string"
 RAW_COLUMNS = ["source", "seq", "fetched_at", "payload"]
@@ -90,7 +93,9 @@ def _cap(payloads: DataFrame, size: int, newest: bool) -> DataFrame:
     """Find each source's cut-off number on the two narrow columns, then filter by it.
 
     Ranking is done in two steps, first within slices of a source, so a source that
-    holds most of the rows is not sorted by one task; payload text is not shuffled.
+    holds most of the rows is not sorted by one task. The cut-offs, one row per source,
+    are staged: Spark then knows their size and broadcasts them if it is small, so that
+    payload text is not shuffled.
     """
     order = F.col("seq").desc() if newest else F.col("seq").asc()
     slices = Window.partitionBy("source", F.pmod(F.xxhash64("seq"), F.lit(RANK_SPREAD))).orderBy(order)
@@ -105,16 +110,17 @@ def _cap(payloads: DataFrame, size: int, newest: bool) -> DataFrame:
     edge = F.min("seq") if newest else F.max("seq")
     edges = kept.groupBy("source").agg(edge.alias("edge"))
     inside = F.col("seq") >= F.col("edge") if newest else F.col("seq") <= F.col("edge")
-    return payloads.join(edges, "source").where(inside).drop("edge")
+    return payloads.join(staged(edges, "cap-edges"), "source").where(inside).drop("edge")
 
 
-def rejects(payloads: DataFrame, records: Column | None = None) -> DataFrame:
+def rejects(payloads: DataFrame, records: Callable[[Column], Column] | None = None) -> DataFrame:
     """Payloads no row can come from, with the reason.
 
-    With `records` (an array expression over `payload`) payloads without any record
-    count as well.
+    With `records`, a feed's way from the parsed payload to its record array, payloads
+    without any record count as well. The generator keeps the parse from running twice.
     """
-    reason = F.when(strict.parse("payload").isNull(), "not valid JSON")
+    parsed = payloads.select("*", F.explode(F.array(strict.parse("payload"))).alias("doc"))
+    reason = F.when(F.col("doc").isNull(), "not valid JSON")
     if records is not None:
-        reason = reason.when(F.coalesce(F.size(records), F.lit(0)) <= 0, "no records")
-    return payloads.withColumn("reason", reason).where(F.col("reason").isNotNull())
+        reason = reason.when(F.coalesce(F.size(records(F.col("doc"))), F.lit(0)) <= 0, "no records")
+    return parsed.withColumn("reason", reason).where(F.col("reason").isNotNull()).drop("doc")

@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from beaconlake.functions import strict
 from beaconlake.operators import dynamic, feeds, polls, rss, tle, vessels
 from beaconlake.sources import raw
 
@@ -192,8 +191,7 @@ def test_caps_keep_newest_and_oldest(spark):
 
 
 def test_rejects_keep_the_reason(payloads):
-    records = strict.elements(strict.parse("payload"), "$.data")
-    rows = raw.rejects(payloads('{"data":[1]}', "{", '{"data":[]}', "[]"), records).orderBy("seq").collect()
+    rows = raw.rejects(payloads('{"data":[1]}', "{", '{"data":[]}', "[]"), feeds.array_at("$.data")).orderBy("seq").collect()
     assert [(r.seq, r.reason) for r in rows] == [(1, "not valid JSON"), (2, "no records"), (3, "no records")]
 
 
@@ -211,3 +209,10 @@ def test_reading_one_source_prunes_folders(spark, tmp_path, payloads):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(source" in plan
     assert rows.count() == 1
+
+
+def test_cap_does_not_shuffle_payload_text(payloads):
+    rows = raw.cap_newest(payloads("a", "b", "c"), 2)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert sorted(r.payload for r in rows.collect()) == ["b", "c"]
