@@ -29,7 +29,8 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else float(f"{value:.12g}")
+        digits = os.environ.get("ORACLE_DIGITS", "12")
+        return "nan" if math.isnan(value) else float(f"{value:.{digits}g}")
     if isinstance(value, (list, tuple)):
         return tuple(plain(v) for v in value)
     return value
