@@ -68,6 +68,11 @@ def positions_from_lists(lists: DataFrame, at: Column, *keys: str) -> DataFrame:
 def ground_tracks(
     element_sets: DataFrame, start: Column, end: Column, step: Column, gravity: sgp4.Gravity = sgp4.WGS84
 ) -> DataFrame:
-    """Positions at every step from start to end. Each satellite makes its own time grid, without a join."""
-    timed = element_sets.withColumn("at", F.explode(F.sequence(start.cast("timestamp"), end.cast("timestamp"), step)))
+    """Positions at every step from start to end. Each satellite makes its own time grid, without a join.
+
+    Element sets are few bytes and their tracks much work, so the sets are first dealt
+    out evenly over the cores, in turn: sets that occur very often do not meet in a task.
+    """
+    cores = element_sets.sparkSession.sparkContext.defaultParallelism
+    timed = element_sets.repartition(cores).withColumn("at", F.explode(F.sequence(start.cast("timestamp"), end.cast("timestamp"), step)))
     return positions_at(timed, F.col("at"), gravity).where(~F.isnan("latitude"))

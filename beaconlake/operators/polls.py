@@ -57,6 +57,12 @@ def poll(payloads: DataFrame, sources: dict[str, str]) -> dict[str, DataFrame]:
     return tables
 
 
+def write_tables(tables: dict[str, DataFrame], path: str) -> None:
+    """Add the rows of a poll to parquet tables, one folder per source."""
+    for source, rows in tables.items():
+        rows.write.mode("append").parquet(f"{path}/source={source}")
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows per source; sources without rows do not occur."""
     counts = None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,13 @@ def _trigger(period: str | None) -> dict:
 def start_feed(
     payloads: DataFrame, job: Job, path: str, checkpoint: str, name: str, period: str | None = DEFAULT_PERIOD
 ) -> StreamingQuery:
-    """Extract one feed without state into a parquet table, each payload exactly once."""
+    """Extract one feed without state into a parquet table, each payload exactly once.
+
+    A feed that runs already is left running.
+    """
+    if name in running(payloads.sparkSession):
+        warnings.warn(f"{name} is running already", stacklevel=2)
+        return running(payloads.sparkSession)[name]
     return (
         job(payloads).writeStream.queryName(name).format("parquet").option("path", path)
         .option("checkpointLocation", checkpoint).trigger(**_trigger(period)).start()
@@ -43,7 +50,13 @@ def start_batches(
     payloads: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, name: str,
     period: str | None = DEFAULT_PERIOD,
 ) -> StreamingQuery:
-    """Hand micro-batches to `work`, which must give the same result when a batch is repeated."""
+    """Hand micro-batches to `work`, which must give the same result when a batch is repeated.
+
+    A query that runs already is left running.
+    """
+    if name in running(payloads.sparkSession):
+        warnings.warn(f"{name} is running already", stacklevel=2)
+        return running(payloads.sparkSession)[name]
     return (
         payloads.writeStream.queryName(name).foreachBatch(work)
         .option("checkpointLocation", checkpoint).trigger(**_trigger(period)).start()

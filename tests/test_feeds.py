@@ -216,3 +216,12 @@ def test_cap_does_not_shuffle_payload_text(payloads):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
     assert sorted(r.payload for r in rows.collect()) == ["b", "c"]
+
+
+def test_polled_tables_are_written_per_source(spark, tmp_path, payloads):
+    both = payloads('{"p":"1"}', source="binance").unionByName(payloads('[{"title":"t"}]', source="polymarket"))
+    tables = polls.poll(both, {"binance": "binance", "polymarket": "polymarket"})
+    for _ in range(2):
+        polls.write_tables(tables, str(tmp_path))
+    assert [r.price for r in spark.read.parquet(f"{tmp_path}/source=binance").collect()] == [1.0, 1.0]
+    assert tables["polymarket"].select("title").toArrow().to_pylist() == [{"title": "t"}]

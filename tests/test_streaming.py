@@ -1,5 +1,6 @@
 """Streams end with what the batch operators find on the same payloads."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from beaconlake.operators import feeds, polls, vessels
@@ -78,6 +79,8 @@ def test_start_stop_and_restart_by_name(spark, tmp_path, payloads):
     start("1 second").processAllAvailable()
     start("1 second", "two").processAllAvailable()  # a feed added while another runs
     assert set(ingest.running(spark)) == {"one", "two"}
+    with pytest.warns(UserWarning, match="running already"):
+        assert start("1 second").id == ingest.running(spark)["one"].id
     again = ingest.restart(spark, "one", start, "2 seconds")
     assert again.isActive and set(ingest.running(spark)) == {"one", "two"}
     assert ingest.stop(spark, "two") and not ingest.stop(spark, "two")
