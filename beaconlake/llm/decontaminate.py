@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from beaconlake.llm import grams
-from beaconlake.llm.common import text_key
+from beaconlake.llm.common import row_key
 from beaconlake.session import staged
 
 WINDOW = 10
@@ -122,7 +122,7 @@ def contaminated(
     text = F.col(text_col).cast("string")
     texts = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), text.alias("text"),
-        (text_key(text) if keys else F.lit(None).cast("string")).alias("key"),
+        (row_key(F.col(id_col), text) if keys else F.lit(None).cast("string")).alias("key"),
     )
     windows = staged(item_windows(benchmark, window, shingle, item_col, item_text_col), "windows")
     shingles = windows.select("shingle").distinct()

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from beaconlake.llm.common import text_key
+from beaconlake.llm.common import row_key
 
 DIMS = 1 << 13
 CENTROIDS = 4
@@ -126,7 +126,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     if not sizes:
         return Model((), np.zeros((0, DIMS), np.float32), np.zeros(0, np.float32), idf)
     share = F.create_map(*[F.lit(v) for row in sizes for v in (row["lang"], min(1.0, SAMPLE / row["count"]))])
-    key = F.md5(F.concat_ws("|", F.col(id_col).cast("string"), text_key(F.col(text_col))).cast("binary"))
+    key = row_key(F.col(id_col), F.col(text_col))
     draw = F.conv(F.substring(key, 1, 7), 16, 10).cast("double") / float(1 << 28)
     sample = training.where(draw < F.element_at(share, F.col(lang_col))).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), key.alias("key")

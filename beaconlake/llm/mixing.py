@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from beaconlake.llm.common import spare_prefix, text_key
+from beaconlake.llm.common import row_key, spare_prefix
 from beaconlake.session import staged
 
 WEIGHTS = (5, 2, 1)
@@ -129,7 +129,7 @@ def mix(
     planned = staged(plan(staged(tally, "mix-tally"), share, limit, block, seed), "mix-plan")
     planned = planned.select([F.col(x).alias(p + x) for x in planned.columns])
     rows = rows.join(planned, c("from").eqNullSafe(c("_source")) & (c("in") == c("_bucket")))
-    inside = Window.partitionBy(c("from"), c("shard")).orderBy(c("digest"), F.col(id_col), c("size"), text_key(F.col(text_col)))
+    inside = Window.partitionBy(c("from"), c("shard")).orderBy(c("digest"), F.col(id_col), c("size"), row_key(F.col(id_col), F.col(text_col)))
     rows = rows.withColumn(p + "end", F.sum(c("size")).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     begin, words = c("end") - c("size"), c("shard_words")
     full = F.coalesce(F.floor(c("run") / F.nullif(words, F.lit(0))), F.lit(0)).cast("long")

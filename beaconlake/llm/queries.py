@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconlake.llm import chat, decontaminate, langid, mixing, packing, topk, warc
+from beaconlake.llm import chat, decontaminate, jaccard, langid, mixing, packing, pitman_yor, topk, warc
 from beaconlake.llm.common import read
 from beaconlake.session import scratch_path
 
@@ -62,6 +62,17 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "language.*")
 
 
+@query
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = remainder("doc_id", 10)
+    docs = read(spark, sf_dir, "documents")
+    scored = pitman_yor.score(docs, rest != 0)
+    return scored.select(
+        "doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        "perplexity",
+    )
+
+
 @query
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
@@ -74,6 +85,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified")
 
 
+@query
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select(
