@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconlake.llm import chat, decontaminate, jaccard, langid, mixing, packing, pitman_yor, topk, warc
+from beaconlake.llm import chat, decontaminate, jaccard, langid, mixing, packing, pitman_yor, sanitise, topk, warc
 from beaconlake.llm.common import read
 from beaconlake.session import scratch_path
 
@@ -73,6 +73,23 @@ def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sanitise.find(read(spark, sf_dir, "documents"))
+
+    def text(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    return found.select(
+        "doc_id", *[count(k) for k in sanitise.KINDS], F.sha2(text(base).cast("binary"), 256).alias("base_sha256"),
+        text(F.col("spans")).alias("spans"), sanitise.sanitised(F.col("text"), F.col("spans")).alias("sanitised_text"),
+    )
+
+
 @query
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
