@@ -11,7 +11,7 @@ other, only the query's own row is left out. No queries give no rows.
 
 Scale: queries in blocks meet candidates in blocks; a task holds one of each, and leaves at most k rows per query and
 block. Blocks hold a bounded number of bytes. The sums are exact: 32-bit floats while they are whole numbers below
-2^24, else 64-bit floats below 2^53, else Python's integers.
+2^24, else 64-bit floats below 2^52, else Python's integers; a score beyond 64 bits is an error.
 """
 
 from __future__ import annotations
