@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 XML_NAMES = {"lt": "<", "gt": ">", "amp": "&", "apos": "'", "quot": '"'}
 HTML_NAMES = {**{name: chr(code) for name, code in name2codepoint.items()}, "apos": "'"}
 
-_TOKENS = r"&[A-Za-z][A-Za-z0-9]*;|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};|[^&]+|&"
-_XML_REFERENCE = r"&(?!(?:lt|gt|amp|apos|quot|#[0-9]{1,7}|#x[0-9A-Fa-f]{1,6});)"
+_TOKENS = r"&[A-Za-z][A-Za-z0-9]*;|&#[0-9]+;|&#[xX][0-9A-Fa-f]+;|[^&]+|&"
+_XML_REFERENCE = r"&(?!(?:lt|gt|amp|apos|quot|#[0-9]+|#x[0-9A-Fa-f]+);)"
 
 
 def _character(code: Column) -> Column:
@@ -25,7 +25,7 @@ def _replace(content: Column, names: dict[str, str]) -> Column:
 
     def one(token: Column) -> Column:
         body = F.regexp_replace(token, "^&#?[xX]?|;$", "")
-        hexadecimal = F.conv(body, 16, 10).try_cast("bigint")
+        hexadecimal = F.when(F.length(F.ltrim(body, F.lit("0"))) <= 8, F.conv(F.ltrim(body, F.lit("0")), 16, 10).try_cast("bigint"))
         return (
             F.when(~token.startswith("&") | (token == "&"), token)
             .when(token.rlike("^&#[xX]"), F.coalesce(_character(hexadecimal), token))

@@ -52,17 +52,20 @@ def articles(pages: DataFrame) -> DataFrame:
 def news_with_text(news: DataFrame, pages: DataFrame) -> DataFrame:
     """News rows with fallbacks for missing fields and the text of the page they link to.
 
-    Pages are joined before their text is taken apart, each once. A link shared by very
-    many items is split by the adaptive skew join.
+    Of pages with the same address the newest counts, by `fetched_at` or else `page_id` if there is such a column, and
+    the greatest text among equals; so a news row stays one row. Only pages that some item links to are taken apart.
+    Items without link meet no page. A link shared by very many items is split by the adaptive skew join.
     """
+    order = [c for c in ("fetched_at", "page_id") if c in pages.columns][:1]
+    linked = pages.join(news.select(F.col("link").alias("url")).distinct(), "url", "left_semi")
+    newest = linked.groupBy("url").agg(F.max_by("html", F.struct(*order, "html")).alias("html"))
     date = F.coalesce("pubDate", "date") if "date" in news.columns else F.col("pubDate")
     filled = news.withColumns(
         {
             "title": F.coalesce("title", F.lit(NO_TITLE)),
-            "link": F.coalesce("link", F.lit(NO_LINK)),
             "published": F.coalesce(date, F.lit(NO_DATE)),
         }
     )
-    return filled.join(articles(pages).withColumnRenamed("url", "link"), "link", "left").withColumn(
-        "article", F.coalesce("article", F.lit(NOTICE))
+    return filled.join(articles(newest).withColumnRenamed("url", "link"), "link", "left").withColumns(
+        {"link": F.coalesce("link", F.lit(NO_LINK)), "article": F.coalesce("article", F.lit(NOTICE))}
     )

@@ -10,6 +10,7 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from beaconlake.functions import strict
 from beaconlake.operators import feeds
@@ -17,6 +18,12 @@ from beaconlake.operators import feeds
 # Keys that may hold the record array, in order of preference.
 RECORD_KEYS = ("data", "features", "items", "result", "results", "observations")
 
+# A nested object with more keys than this has ids for keys: it stays VARIANT.
+MOST_NESTED_KEYS = 200
+
+# In a schema text, names are quoted or stand before a colon; what is left of these are types.
+_NAME_OR_OBJECT = r"`(?:[^`]|``)*`|[A-Za-z0-9_]+(?=:)|OBJECT(?=<)"
+
 
 def record_array(doc: Column) -> Column:
     """The root array, else the first of the known keys that holds an array."""
@@ -31,15 +38,28 @@ def records(payloads: DataFrame) -> DataFrame:
 
 
 def infer_schema(found: DataFrame) -> str:
-    """One struct type for all records; any mix of numbers becomes double.
+    """One struct type for all records; any mix of numbers becomes double, a value that is always null a string.
 
     The aggregate merges schemas per task first; only the merged text reaches the driver.
     """
     merged = found.agg(F.schema_of_variant_agg("record")).first()[0]
     if merged is None or not merged.startswith("OBJECT<"):
         raise ValueError("no record array with objects in the payloads")
-    merged = re.sub(r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE", merged).replace("VOID", "STRING")
-    return merged.replace("OBJECT<", "STRUCT<")
+    text = re.sub(_NAME_OR_OBJECT, lambda m: "STRUCT" if m[0] == "OBJECT" else m[0], merged)
+    return _ddl(T.DataType.fromDDL(text))
+
+
+def _ddl(kind: T.DataType, nested: bool = False) -> str:
+    if isinstance(kind, T.StructType):
+        if nested and len(kind.fields) > MOST_NESTED_KEYS:
+            return "VARIANT"
+        members = (f"`{f.name.replace('`', '``')}`: {_ddl(f.dataType, True)}" for f in kind.fields)
+        return f"STRUCT<{', '.join(members)}>"
+    if isinstance(kind, T.ArrayType):
+        return f"ARRAY<{_ddl(kind.elementType, True)}>"
+    if isinstance(kind, T.DecimalType):
+        return "DOUBLE"
+    return "STRING" if isinstance(kind, T.NullType) else kind.simpleString()
 
 
 def extract(payloads: DataFrame, schema: str | None = None) -> DataFrame:

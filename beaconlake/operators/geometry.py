@@ -56,7 +56,14 @@ def point(longitude: str = "longitude", latitude: str = "latitude") -> Column:
 
 
 def located(rows: DataFrame, lat_col: str = "latitude", lon_col: str = "longitude") -> DataFrame:
-    return rows.dropna(subset=[lon_col, lat_col])
+    """Rows with both coordinates; NaN is a value."""
+    return rows.where(F.col(lon_col).isNotNull() & F.col(lat_col).isNotNull())
+
+
+def _whole(value: Column) -> Column:
+    """A whole number of 32 bits: NaN gives 0, what lies beyond an end gives that end."""
+    low, high = -(2**31), 2**31 - 1
+    return F.when(F.isnan(value), 0).when(value >= high, high).when(value <= low, low).otherwise(value.cast("int"))
 
 
 def to_features(
@@ -70,7 +77,7 @@ def to_features(
             raise ValueError(f"column {name} must be double")
     layer_name = F.lit(layer) if isinstance(layer, str) else layer
     given = [c for c in rows.columns if c not in (lat_col, lon_col, id_col)]
-    grid = F.array((F.col(lon_col) * GRID).cast("int"), (F.col(lat_col) * GRID).cast("int"))
+    grid = F.array(_whole(F.col(lon_col) * GRID), _whole(F.col(lat_col) * GRID))
     feature = F.struct(
         F.lit("Feature").alias("type"),
         F.col(id_col).alias("id"),

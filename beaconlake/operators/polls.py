@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beaconlake.operators import dynamic, feeds, rss, tle, vessels
+from beaconlake.session import staged
 
 # Parser name to feed job. Own parsers may be added.
 PARSERS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -44,20 +45,45 @@ def vessel_updates(payloads: DataFrame, sources: dict[str, str]) -> DataFrame |
     return updates
 
 
-def poll(payloads: DataFrame, sources: dict[str, str]) -> dict[str, DataFrame]:
+class Polled(Mapping[str, DataFrame]):
+    """Tables by source name, each built when it is first asked for.
+
+    Rows of all vessel feeds come from one fold, written once when the first of their tables is asked for.
+    """
+
+    def __init__(self, payloads: DataFrame, sources: dict[str, str]):
+        self._payloads, self._sources = payloads, sources
+        self._built: dict[str, DataFrame] = {}
+        self._vessels: DataFrame | None = None
+
+    def _enriched(self) -> DataFrame:
+        if self._vessels is None:
+            rows = vessels.enriched(vessel_updates(self._payloads, self._sources))
+            self._vessels = staged(rows.select(*feeds.LINEAGE, *vessels.VESSEL_COLUMNS), "enriched")
+        return self._vessels
+
+    def __getitem__(self, source: str) -> DataFrame:
+        parser = self._sources[source]
+        if source not in self._built:
+            if parser in VESSEL_UPDATES and parser != "marinesia":
+                self._built[source] = self._enriched().where(F.col("source") == source)
+            else:
+                self._built[source] = PARSERS[parser](self._payloads.where(F.col("source") == source))
+        return self._built[source]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._sources)
+
+    def __len__(self) -> int:
+        return len(self._sources)
+
+
+def poll(payloads: DataFrame, sources: dict[str, str]) -> Polled:
     """Source name to its rows. `sources` maps names to parsers; other payloads are left out."""
-    tables = {}
-    updates = vessel_updates(payloads, sources)
-    rows = vessels.enriched(updates) if updates is not None else None
-    for source, parser in sources.items():
-        if parser in VESSEL_UPDATES and parser != "marinesia":
-            tables[source] = rows.where(F.col("source") == source).select(*feeds.LINEAGE, *vessels.VESSEL_COLUMNS)
-        else:
-            tables[source] = PARSERS[parser](payloads.where(F.col("source") == source))
-    return tables
-
-
-def write_tables(tables: dict[str, DataFrame], path: str) -> None:
+    return Polled(payloads, sources)
+
+
+def write_tables(tables: Mapping[str, DataFrame], path: str) -> None:
     """Add the rows of a poll to parquet tables, one folder per source."""
     for source, rows in tables.items():
         rows.write.mode("append").parquet(f"{path}/source={source}")

@@ -135,12 +135,12 @@ QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id {direction}
 
 @query("cap_newest", _cap_sql("DESC"))
 def cap_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw.cap_newest(_by_type(spark, sf_dir)).drop("fetched_at")
+    return raw.cap_newest(_by_type(spark, sf_dir), 1000).drop("fetched_at")
 
 
 @query("cap_oldest", _cap_sql("ASC"))
 def cap_oldest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw.cap_oldest(_by_type(spark, sf_dir)).drop("fetched_at")
+    return raw.cap_oldest(_by_type(spark, sf_dir), 1000).drop("fetched_at")
 
 
 @query("payload_rejects", """

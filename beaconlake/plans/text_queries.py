@@ -151,4 +151,5 @@ def news_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(lang != "es", F.coalesce("url", F.concat(F.lit("https://nowhere.example.com/"), key))).alias("link"),
         F.when(lang != "fr", F.col("source")).alias("pubDate"),
     )
-    return articles.news_with_text(news, pages).select("doc_id", "title", "link", "published", "article")
+    earlier = pages.withColumns({"page_id": F.col("page_id") - 1_000_000, "html": F.lit("<p>an earlier version of the page that nobody should see</p>")})
+    return articles.news_with_text(news, pages.unionByName(earlier)).select("doc_id", "title", "link", "published", "article")

@@ -44,22 +44,41 @@ def read_snapshots(spark: SparkSession, path: str, stream: bool = False) -> Data
 
 
 def write_messages(payloads: DataFrame, path: str) -> None:
-    """Land messages as lines `<seq> TAB <payload>` in one folder per source."""
-    line = F.concat_ws("\t", F.col("seq").cast("string"), F.translate("payload", "\r\n", "  "))
+    """Land messages as lines `<seq> TAB <payload>` in one folder per source.
+
+    A payload with line breaks is written as `<seq>e TAB <payload>`, its backslashes and line breaks escaped.
+    """
+    escaped = F.replace(F.replace(F.replace("payload", F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+    broken = F.col("payload").rlike("[\r\n]")
+    number = F.concat(F.col("seq").cast("string"), F.when(broken, "e").otherwise(""))
+    line = F.concat_ws("\t", number, F.when(broken, escaped).otherwise(F.col("payload")))
     payloads.select("source", line.alias("value")).write.partitionBy("source").text(path)
 
 
-def read_messages(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """Message frames: each line is one payload after its arrival number."""
+# A line that holds a message, and the number before it.
+_MESSAGE = "^(-?[0-9]+)e?\t"
+
+
+def _message_lines(spark: SparkSession, path: str, stream: bool) -> DataFrame:
     reader = spark.readStream if stream else spark.read
     lines = reader.schema("value string, source string").text(path)
-    parts = F.split("value", "\t", 2)
-    return lines.select(
-        "source",
-        parts[0].try_cast("bigint").alias("seq"),
-        file_time().alias("fetched_at"),
-        parts[1].alias("payload"),
-    )
+    number = F.nullif(F.regexp_extract("value", _MESSAGE, 1), F.lit("")).try_cast("bigint")
+    return lines.select("source", number.alias("seq"), file_time().alias("fetched_at"), "value")
+
+
+def read_messages(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+    """Message frames: each line is one payload after its arrival number; other lines are left out."""
+    rest = F.regexp_replace("value", _MESSAGE, "")
+    parts = F.transform(F.split(rest, r"\\\\", -1), lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    payload = F.when(F.col("value").rlike("^-?[0-9]+e\t"), F.array_join(parts, "\\")).otherwise(rest)
+    rows = _message_lines(spark, path, stream).where(F.col("seq").isNotNull())
+    return rows.select("source", "seq", "fetched_at", payload.alias("payload"))
+
+
+def message_rejects(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+    """Lines that are no messages, with the reason."""
+    rows = _message_lines(spark, path, stream).where(F.col("seq").isNull())
+    return rows.select("source", "fetched_at", F.col("value").alias("payload"), F.lit("no arrival number").alias("reason"))
 
 
 def file_time() -> Column:
@@ -79,12 +98,12 @@ def route(payloads: DataFrame, sources: DataFrame) -> DataFrame:
     return payloads.join(sources.select("source", "parser"), "source")
 
 
-def cap_newest(payloads: DataFrame, size: int = 1000) -> DataFrame:
+def cap_newest(payloads: DataFrame, size: int) -> DataFrame:
     """The newest `size` payloads of each source."""
     return _cap(payloads, size, newest=True)
 
 
-def cap_oldest(payloads: DataFrame, size: int = 1000) -> DataFrame:
+def cap_oldest(payloads: DataFrame, size: int) -> DataFrame:
     """The oldest `size` payloads of each source, as for message channels."""
     return _cap(payloads, size, newest=False)
 

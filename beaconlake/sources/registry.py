@@ -90,7 +90,7 @@ def resolve(registrations: DataFrame, adapters: DataFrame) -> DataFrame:
     )
     return (
         last.select("source", "last.adapter", "last.url")
-        .join(F.broadcast(adapters), "adapter")  # the catalogue has one row per feed type
+        .join(adapters, "adapter")
         .select("source", "parser", F.coalesce("url", "default_url").alias("url"))
     )
 

@@ -66,6 +66,8 @@ def start_vessels(
     The clock is the latest fetch time so far. A vessel is alerted once per silence; a
     new report arms it again.
     """
+    if not any(parser in polls.VESSEL_UPDATES for parser in sources.values()):
+        raise ValueError("none of the sources is a vessel feed")
     spark = payloads.sparkSession
 
     def work(batch: DataFrame, batch_id: int) -> None:
@@ -105,5 +107,10 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def dark_now(spark: SparkSession, path: str, as_of: Column, timeout_hours: float = 0.05) -> DataFrame:
+    """Vessels silent at an instant, with or without traffic since the last batch."""
+    return vessels.dark_vessels(read_state(spark, path), as_of, timeout_hours)
+
+
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/alerts")

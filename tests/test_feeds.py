@@ -184,10 +184,10 @@ def test_caps_keep_newest_and_oldest(spark):
     many = spark.range(2000).selectExpr("'ais' AS source", "id AS seq", "current_timestamp() AS fetched_at", "string(id) AS payload")
     few = many.where("seq < 5").withColumn("source", F.lit("small"))
     both = many.unionByName(few)
-    newest = [r.seq for r in raw.cap_newest(both).where("source = 'ais'").orderBy("seq").collect()]
-    oldest = [r.seq for r in raw.cap_oldest(both).where("source = 'ais'").orderBy("seq").collect()]
+    newest = [r.seq for r in raw.cap_newest(both, 1000).where("source = 'ais'").orderBy("seq").collect()]
+    oldest = [r.seq for r in raw.cap_oldest(both, 1000).where("source = 'ais'").orderBy("seq").collect()]
     assert newest == list(range(1000, 2000)) and oldest == list(range(1000))
-    assert raw.cap_newest(both).where("source = 'small'").count() == 5
+    assert raw.cap_newest(both, 1000).where("source = 'small'").count() == 5
 
 
 def test_rejects_keep_the_reason(payloads):

@@ -123,7 +123,7 @@ def test_snapshot_and_message_files_stream(spark, tmp_path, payloads):
     raw.write_messages(payloads("x", "y\nz", source="ais"), messages)
     for reader, path, expected in (
         (raw.read_snapshots, snapshots, [("usgs", 0, '{"a":1}'), ("usgs", 1, '{"a":\n2}')]),
-        (raw.read_messages, messages, [("ais", 0, "x"), ("ais", 1, "y z")]),
+        (raw.read_messages, messages, [("ais", 0, "x"), ("ais", 1, "y\nz")]),
     ):
         stream = reader(spark, path, stream=True)
         query = stream.writeStream.format("memory").queryName("landing").trigger(availableNow=True).start()
