@@ -1,8 +1,9 @@
 """SGP4/SDP4 orbit propagation as Spark SQL expressions.
 
 The published model (Spacetrack Report #3 with the corrections of Vallado et al.,
-AIAA 2006-6753), near-earth and deep-space, written as lists of `name = expression`
-that Spark evaluates inside generated code: no Python touches a row. Lines that only
+AIAA 2006-6753), near-earth and deep-space, written as stages of `name = expression`
+that Spark evaluates inside generated code: no Python touches a row. What depends on the
+orbit alone comes first and is computed once for all instants. Lines that only
 matter for deep-space orbits (period of 225 minutes or more) are evaluated for those
 rows only.
 """
@@ -41,50 +42,18 @@ WGS84 = Gravity(398600.5, 6378.137, 0.00108262998905, -0.00000253215306, -0.0000
 _FLOAT = re.compile(r"(?<![\w.])(\d+\.\d*(?:e[+-]?\d+)?|\d+e[+-]?\d+)(?![\w.])", re.I)
 
 
-def _lines(text: str, only_if: str | None = None) -> list[tuple[str, str, str | None]]:
-    """`name = expression` lines; decimal numbers become double literals."""
-    parts = [line.split("=", 1) for line in text.strip().splitlines() if line.strip()]
-    return [(name.strip(), _FLOAT.sub(r"\1D", value.strip()), only_if) for name, value in parts]
+def _stage(df: DataFrame, text: str, only_if: str | None = None) -> DataFrame:
+    """Add the `name = expression` lines as columns, each free to use those above it.
 
-
-def _names(expression: str) -> set[str]:
-    return set(re.findall(r"(?<![.\w'])[A-Za-z_]\w*", expression))
-
-
-def _evaluate(df: DataFrame, lines: list[tuple[str, str, str | None]], wanted: list[str]) -> DataFrame:
-    """Add the lines as columns, one projection per step of dependency, and keep `wanted`.
-
-    A value used once is written into the line that uses it, and a column is dropped
-    after its last use, so that the plan stays short and narrow.
+    Spark orders them, writes single-use values into the line that uses them and drops what nothing reads.
+    Decimal numbers become double literals. A line with a lambda needs a stage of its own.
     """
-    uses: dict[str, list[int]] = {}
-    for place, (_, expression, _) in enumerate(lines):
-        for name in _names(expression):
-            uses.setdefault(name, []).append(place)
-    inlined: dict[str, str] = {}
-    steps: dict[str, int] = {name: 0 for name in df.columns}
-    columns: list[tuple[int, str, str]] = []
-    for name, expression, only_if in lines:
-        for part in _names(expression) & set(inlined):
-            expression = re.sub(rf"(?<![.\w'])\b{part}\b", lambda _: f"({inlined[part]})", expression)
-        once = len(uses.get(name, [])) == 1 and name not in wanted and "->" not in expression
-        if once and lines[uses[name][0]][2] == only_if and "->" not in lines[uses[name][0]][1]:
-            inlined[name] = expression
-            continue
-        sources = _names(expression) | ({only_if} if only_if else set())
-        steps[name] = 1 + max((steps[n] for n in sources if n in steps), default=0)
-        columns.append((steps[name], name, f"CASE WHEN {only_if} THEN {expression} END" if only_if else expression))
-    last_use = {name: max(steps.values()) + 1 for name in wanted}
-    for step, _, expression in columns:
-        for name in _names(expression) & set(steps):
-            last_use[name] = max(last_use.get(name, 0), step)
-    query, present = "{rows}", list(df.columns)
-    for step in range(1, max(steps.values()) + 1):
-        present = [name for name in present if last_use.get(name, 0) > step]
-        new = {n: e for at, n, e in columns if at == step}
-        query = f"(SELECT {', '.join(present + [f'{e} AS {n}' for n, e in new.items()])} FROM {query})"
-        present += new
-    return df.sparkSession.sql(f"SELECT {', '.join(wanted)} FROM {query}", rows=df)
+    columns = []
+    for line in filter(str.strip, text.splitlines()):
+        name, expression = (part.strip() for part in line.split("=", 1))
+        expression = _FLOAT.sub(r"\1D", expression)
+        columns.append(f"{f'CASE WHEN {only_if} THEN {expression} END' if only_if else expression} AS {name}")
+    return df.selectExpr("*", *columns)
 
 
 def _initial(g: Gravity) -> str:
@@ -371,13 +340,19 @@ def _rates(state: str) -> tuple[str, str, str]:
 
 
 def _integrated() -> str:
-    """Mean motion and longitude at `t`, integrated in steps of half a day from the epoch."""
+    """Mean motion and longitude, integrated in steps of half a day from the epoch to the last step before `t`."""
     turn, ndot, nddot = _rates("s")
     step = f"(sign(t) * {STEP!r})"
     half = STEP * STEP / 2
-    turn_e, ndot_e, nddot_e = _rates("res")
     return f"""
 res = aggregate(CASE WHEN class > 0 AND abs(t) >= {STEP!r} THEN sequence(1, CAST(floor(abs(t) / {STEP!r}) AS INT)) ELSE CAST(array() AS ARRAY<INT>) END, named_struct('at', 0.0, 'lam', lam0, 'n', no), (s, i) -> named_struct('at', s.at + {step}, 'lam', s.lam + {turn} * {step} + {ndot} * {half!r}, 'n', s.n + {ndot} * {step} + {nddot} * {half!r}))
+"""
+
+
+def _resonant() -> str:
+    """The rest of the way to `t`, and the secular effects of sun and moon."""
+    turn_e, ndot_e, nddot_e = _rates("res")
+    return f"""
 left_over = t - res.at
 n_res = res.n + {ndot_e} * left_over + {nddot_e} * left_over * left_over * 0.5
 lam_res = res.lam + {turn_e} * left_over + {ndot_e} * left_over * left_over * 0.5
@@ -431,13 +406,8 @@ argp_p = CASE WHEN steep THEN argp_3 + pgh - cos_p * ph / sin_p ELSE xls - mean_
 """
 
 
-def _short_period(g: Gravity) -> str:
+def _long_period(g: Gravity) -> str:
     j3oj2 = g.j3 / g.j2
-    # Ten rounds of Newton's method on Kepler's equation.
-    kepler = (
-        "e + greatest(-0.95, least(0.95, (u - aynl * cos(e) + axnl * sin(e) - e)"
-        " / nullif(1.0 - cos(e) * axnl - sin(e) * aynl, 0.0)))"
-    )
     return f"""
 turned = deep AND incl_p < 0.0
 inc = CASE WHEN deep THEN abs(incl_p) ELSE incl_2 END
@@ -453,7 +423,17 @@ axnl = ec * cos(arg)
 inv = 1.0 / nullif(am * (1.0 - ec * ec), 0.0)
 aynl = ec * sin(arg) + inv * aycof
 u = (mea + arg + inv * xlcof * axnl) % {TWO_PI!r}
-ea = aggregate(sequence(1, 10), u, (e, i) -> {kepler})
+"""
+
+
+# Ten rounds of Newton's method on Kepler's equation.
+_KEPLER = """
+ea = aggregate(sequence(1, 10), u, (e, i) -> e + greatest(-0.95, least(0.95, (u - aynl * cos(e) + axnl * sin(e) - e) / nullif(1.0 - cos(e) * axnl - sin(e) * aynl, 0.0))))
+"""
+
+
+def _short_period(g: Gravity) -> str:
+    return f"""
 ecose = axnl * cos(ea) + aynl * sin(ea)
 esine = axnl * sin(ea) - aynl * cos(ea)
 el2 = axnl * axnl + aynl * aynl
@@ -481,16 +461,26 @@ zu = sin(ik) * sin(uk)
 """
 
 
-def propagate(orbits: DataFrame, minutes: str, gravity: Gravity = WGS84) -> DataFrame:
-    """Add `x_km, y_km, z_km` in the equatorial frame, null where the model breaks down.
+# Columns of `constants`: the orbit's own as a struct, and what instants read.
+GIVEN = "given"
+CONSTANTS = (
+    "given usable epoch_day bstar ecc incl node argp mean no deep simple mdot argpdot nodedot nodecf "
+    "omgcof xmcof eta delmo cc1 cc1sq cc4 cc5 d2 d3 d4 "
+    "gsto class lam0 lamdot del1 del2 del3 d2201 d2211 d3210 d3222 d4410 d4422 d5220 d5232 d5421 d5433 "
+    "dedt didt dmdt domdt dnodt "
+    "s_m0 se2 se3 si2 si3 sl2 sl3 sl4 sgh2 sgh3 sgh4 sh2 sh3 "
+    "l_m0 le2 le3 li2 li3 ll2 ll3 ll4 lgh2 lgh3 lgh4 lh2 lh3"
+).split()
 
-    `orbits` has the columns of `tle.elements`; `minutes` is an expression for the time
-    since the epoch of the elements.
+
+def constants(orbits: DataFrame, gravity: Gravity = WGS84) -> DataFrame:
+    """What the model needs of an orbit at any instant. The orbit's columns move into `given`.
+
+    `orbits` has the columns of `tle.elements`.
     """
-    keep = F.struct("*").alias("given")
-    inputs = orbits.select(
-        keep,
-        F.expr(f"CASE WHEN usable THEN CAST({minutes} AS DOUBLE) END").alias("t"),
+    df = orbits.select(
+        F.struct("*").alias(GIVEN),
+        "usable",
         F.when(F.col("usable"), F.col("epoch_day")).alias("epoch_day"),
         F.col("bstar"),
         F.col("eccentricity").alias("ecc"),
@@ -500,20 +490,35 @@ def propagate(orbits: DataFrame, minutes: str, gravity: Gravity = WGS84) -> Data
         F.radians("mean_anomaly_deg").alias("mean"),
         F.when(F.col("usable"), F.col("mean_motion") * (TWO_PI / 1440.0)).alias("kozai"),
     )
-    lines = (
-        _lines(_initial(gravity))
-        + _lines(_SECULAR)
-        + _lines(_THIRD_BODIES, "deep")
-        + _lines(_third_body("s", 2.9864797e-6, ZES) + _third_body("l", 4.7968065e-7, ZEL), "deep")
-        + _lines(_third_body_rates("s", ZNS) + _third_body_rates("l", ZNL), "deep")
-        + _lines(_resonance(gravity), "deep")
-        + _lines(_integrated(), "deep")
-        + _lines(_drag(gravity))
-        + _lines(_third_body_periodics("s", ZNS, ZES) + _third_body_periodics("l", ZNL, ZEL), "deep")
-        + _lines(_PERIODICS, "deep")
-        + _lines(_short_period(gravity))
-    )
-    df = _evaluate(inputs, lines, ["given", "broken", "rk", "xu", "yu", "zu"])
+    df = _stage(df, _initial(gravity))
+    df = _stage(df, _THIRD_BODIES, "deep")
+    df = _stage(df, _third_body("s", 2.9864797e-6, ZES) + _third_body("l", 4.7968065e-7, ZEL), "deep")
+    df = _stage(df, _third_body_rates("s", ZNS) + _third_body_rates("l", ZNL), "deep")
+    return _stage(df, _resonance(gravity), "deep").select(CONSTANTS)
+
+
+def at_minutes(orbits: DataFrame, minutes: str, gravity: Gravity = WGS84) -> DataFrame:
+    """Positions of orbits with their constants, `minutes` after the epoch of the elements."""
+    df = orbits.withColumn("t", F.expr(f"CASE WHEN usable THEN CAST({minutes} AS DOUBLE) END"))
+    df = _stage(df, _SECULAR)
+    df = _stage(df, _integrated(), "deep")
+    df = _stage(df, _resonant(), "deep")
+    df = _stage(df, _drag(gravity))
+    df = _stage(df, _third_body_periodics("s", ZNS, ZES) + _third_body_periodics("l", ZNL, ZEL), "deep")
+    df = _stage(df, _PERIODICS, "deep")
+    df = _stage(df, _long_period(gravity))
+    df = _stage(df, _KEPLER)
+    df = _stage(df, _short_period(gravity))
     axes = [F.expr(f"CASE WHEN NOT broken THEN rk * {a}u * {gravity.radius!r}D END").alias(f"{a}_km") for a in "xyz"]
     # A generator ends the chain: filters on the result are not rewritten into the model.
-    return df.select("given", F.explode(F.array(F.struct(*axes))).alias("place")).select("given.*", "place.*")
+    return df.select(GIVEN, F.explode(F.array(F.struct(*axes))).alias("place")).select(f"{GIVEN}.*", "place.*")
+
+
+def propagate(orbits: DataFrame, minutes: str, gravity: Gravity = WGS84) -> DataFrame:
+    """Add `x_km, y_km, z_km` in the equatorial frame, null where the model breaks down.
+
+    `orbits` has the columns of `tle.elements`; `minutes` is an expression for the time
+    since the epoch of the elements, from the columns of the orbit.
+    """
+    timed = constants(orbits.withColumn("minutes_", F.expr(minutes)), gravity)
+    return at_minutes(timed, f"{GIVEN}.minutes_", gravity).drop("minutes_")

@@ -12,6 +12,9 @@ from beaconlake.operators import tle
 EARTH_RADIUS_KM = 6371.0
 EARTH_TURN_DEG = 360.985647366
 
+# Steps of a grid that share one computation of the orbit's constants.
+STRETCH = 1024
+
 
 def days_since_2000(at: Column) -> Column:
     """Days since 2000-01-01 00:00 UTC."""
@@ -68,11 +71,24 @@ def positions_from_lists(lists: DataFrame, at: Column, *keys: str) -> DataFrame:
 def ground_tracks(
     element_sets: DataFrame, start: Column, end: Column, step: Column, gravity: sgp4.Gravity = sgp4.WGS84
 ) -> DataFrame:
-    """Positions at every step from start to end. Each satellite makes its own time grid, without a join.
+    """Positions at every step from start to end, without a join. The step is a positive interval of days or less.
 
-    Element sets are few bytes and their tracks much work, so the sets are first dealt
-    out evenly over the cores, in turn: sets that occur very often do not meet in a task.
+    Element sets are few bytes and their tracks much work. Each satellite first makes stretches of `STRETCH`
+    steps, and these are dealt out in turn over `spark.sql.shuffle.partitions` tasks, so neither one long grid nor
+    sets that occur very often meet in a task. A stretch computes the constants of its orbit once, then its instants.
     """
-    cores = element_sets.sparkSession.sparkContext.defaultParallelism
-    timed = element_sets.repartition(cores).withColumn("at", F.explode(F.sequence(start.cast("timestamp"), end.cast("timestamp"), step)))
-    return positions_at(timed, F.col("at"), gravity).where(~F.isnan("latitude"))
+    spark = element_sets.sparkSession
+    given = element_sets.columns
+    grid = F.struct(start.cast("timestamp").alias("start"), end.cast("timestamp").alias("end"), step.alias("step"))
+    stretches = element_sets.withColumn("grid", grid).withColumn(
+        "first", F.explode(F.sequence("grid.start", "grid.end", F.col("grid.step") * STRETCH))
+    )
+    dealt = stretches.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    orbits = sgp4.constants(tle.elements(dealt), gravity)
+    last = F.least(F.col("given.grid.end"), F.col("given.first") + F.col("given.grid.step") * (STRETCH - 1))
+    timed = orbits.withColumn("at", F.explode(F.sequence(F.col("given.first"), last, F.col("given.grid.step"))))
+    timed = timed.withColumn("given", F.struct(*[F.col("given")[c].alias(c) for c in given], "at"))
+    timed = timed.withColumn("at_day", days_since_2000(F.col("at")))
+    moved = sgp4.at_minutes(timed, "(at_day - epoch_day) * 1440.0D", gravity)
+    found = ground(moved, F.col("at")).select(*given, "at", "latitude", "longitude", "altitude_km")
+    return found.where(~F.isnan("latitude"))
