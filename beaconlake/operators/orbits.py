@@ -59,13 +59,14 @@ def ground_positions(element_sets: DataFrame, at: Column, gravity: sgp4.Gravity
     return positions_at(element_sets, at, gravity).where(~F.isnan("latitude"))
 
 
-def positions_from_lists(lists: DataFrame, at: Column, *keys: str) -> DataFrame:
+def positions_from_lists(lists: DataFrame, at: Column, *keys: str, gravity: sgp4.Gravity = sgp4.WGS84) -> DataFrame:
     """Positions for `(keys, line1s, line2s)` lists, paired by place up to the shorter list."""
     size = F.least(F.size("line1s"), F.size("line2s"))
     pairs = F.arrays_zip(
         F.slice("line1s", F.lit(1), size).alias("tle_line1"), F.slice("line2s", F.lit(1), size).alias("tle_line2")
     )
-    return positions_at(lists.select(*keys, F.posexplode(pairs).alias("place", "pair")).select(*keys, "place", "pair.*"), at)
+    paired = lists.select(*keys, F.posexplode(pairs).alias("place", "pair")).select(*keys, "place", "pair.*")
+    return positions_at(paired, at, gravity)
 
 
 def ground_tracks(

@@ -77,12 +77,3 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     path = scratch_path(frame.sparkSession, label)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
-
-
-def spread(frame: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores if their files give fewer partitions than there are cores.
-
-    Only a table of few row groups is shuffled; a large one is left as it is.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores, key) if frame.rdd.getNumPartitions() < cores else frame
