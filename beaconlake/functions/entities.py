@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+import json
+from collections.abc import Callable
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 XML_NAMES = {"lt": "<", "gt": ">", "amp": "&", "apos": "'", "quot": '"'}
-HTML_NAMES = {**{name: chr(code) for name, code in name2codepoint.items()}, "apos": "'"}
+# All names of the HTML standard, as Python's library lists them; lookups go through the old and common ones first.
+HTML_NAMES = {name: html5[f"{name};"] for name in name2codepoint}
+HTML_NAMES |= {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+# Names that count without a semicolon too, and before further letters; the longest is taken.
+BARE_NAMES = {name: text for name, text in html5.items() if not name.endswith(";")}
+_BARE = "^&(" + "|".join(sorted(BARE_NAMES, key=lambda name: (-len(name), name))) + ")"
 
-_TOKENS = r"&[A-Za-z][A-Za-z0-9]*;|&#[0-9]+;|&#[xX][0-9A-Fa-f]+;|[^&]+|&"
+# Numbers 128 to 159 mean the characters of this old code page where it has one.
+_OLD_CODES = {chr(code): bytes([code]).decode("cp1252", "ignore") or chr(code) for code in range(128, 160)}
+
+_XML_TOKENS = r"&[A-Za-z][A-Za-z0-9]*;|&#[0-9]+;|&#[xX][0-9A-Fa-f]+;|[^&]+|&"
+_HTML_TOKENS = r"&[A-Za-z][A-Za-z0-9]*;?|&#[0-9]+;?|&#[xX][0-9A-Fa-f]+;?|[^&]+|&"
 _XML_REFERENCE = r"&(?!(?:lt|gt|amp|apos|quot|#[0-9]+|#x[0-9A-Fa-f]+);)"
 
 
@@ -20,28 +31,47 @@ def _character(code: Column) -> Column:
     return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
 
 
-def _replace(content: Column, names: dict[str, str]) -> Column:
-    table = F.create_map(*[F.lit(part) for pair in names.items() for part in pair])
+def _table(names: dict[str, str]) -> Column:
+    """A constant map; one literal, as a literal per name would take long to build."""
+    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+
+
+def _replace(content: Column, tokens: str, named: Callable[[Column], Column], old_codes: dict[str, str]) -> Column:
+    """`named` gives the text of a named reference, null if there is none."""
+
+    def number(code: Column) -> Column:
+        return F.translate(_character(code), "".join(old_codes), "".join(old_codes.values())) if old_codes else _character(code)
 
     def one(token: Column) -> Column:
-        body = F.regexp_replace(token, "^&#?[xX]?|;$", "")
-        hexadecimal = F.when(F.length(F.ltrim(body, F.lit("0"))) <= 8, F.conv(F.ltrim(body, F.lit("0")), 16, 10).try_cast("bigint"))
+        body = F.ltrim(F.regexp_replace(token, "^&#?[xX]?|;$", ""), F.lit("0"))
+        hexadecimal = F.when(F.length(body) <= 8, F.conv(body, 16, 10).try_cast("bigint"))
         return (
             F.when(~token.startswith("&") | (token == "&"), token)
-            .when(token.rlike("^&#[xX]"), F.coalesce(_character(hexadecimal), token))
-            .when(token.startswith("&#"), F.coalesce(_character(body.try_cast("bigint")), token))
-            .otherwise(F.coalesce(table[F.substring(token, 2, F.length(token) - 2)], token))
+            .when(token.rlike("^&#[xX]"), F.coalesce(number(hexadecimal), token))
+            .when(token.startswith("&#"), F.coalesce(number(body.try_cast("bigint")), token))
+            .otherwise(F.coalesce(named(token), token))
         )
 
-    pieces = F.regexp_extract_all(content, F.lit(f"({_TOKENS})"), F.lit(1))
+    pieces = F.regexp_extract_all(content, F.lit(f"({tokens})"), F.lit(1))
     return F.when(content.contains("&"), F.array_join(F.transform(pieces, one), "")).otherwise(content)
 
 
 def unescape_html(content: Column) -> Column:
-    """Named and numeric references to characters; unknown ones stay as they are."""
-    return _replace(content, HTML_NAMES)
+    """Named and numeric references to characters, with or without semicolon as HTML has it; unknown ones stay as they are."""
+
+    def named(token: Column) -> Column:
+        whole = F.when(token.endswith(";"), _table(HTML_NAMES)[F.substring(token, F.lit(2), F.length(token) - 2)])
+        bare = F.regexp_extract(token, _BARE, 1)
+        rest = F.substring(token, F.length(bare) + 2, F.length(token))
+        return F.coalesce(whole, F.when(bare != "", F.concat(_table(BARE_NAMES)[bare], rest)))
+
+    return _replace(content, _HTML_TOKENS, named, _OLD_CODES)
 
 
 def unescape_xml(content: Column) -> Column:
     """The five predefined names and numeric references; null if any other `&` occurs."""
-    return F.when(~content.rlike(_XML_REFERENCE), _replace(content, XML_NAMES))
+
+    def named(token: Column) -> Column:
+        return _table(XML_NAMES)[F.substring(token, F.lit(2), F.length(token) - 2)]
+
+    return F.when(~content.rlike(_XML_REFERENCE), _replace(content, _XML_TOKENS, named, {}))

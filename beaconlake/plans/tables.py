@@ -14,7 +14,6 @@ from beaconlake.session import tune
 PAGE = 50  # records per derived payload
 
 
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
