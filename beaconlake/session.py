@@ -18,6 +18,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # Java compiles methods of up to 8000 bytes only; larger generated ones would be interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Newest-N by rank keeps N rows per task before the shuffle, whatever N; the default stops at 1000.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
 }
 
 

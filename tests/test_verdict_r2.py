@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from beaconlake.functions.entities import unescape_html
 from beaconlake.operators import orbits
+from beaconlake.sources import raw
 from tests.test_orbits import ISS, PAIRS
 
 
@@ -33,3 +34,17 @@ def test_long_grid_is_cut_and_constants_come_first(spark):
     # Operators are shown from the last to the first.
     instants = plan.index("Generate explode(sequence(")
     assert plan.index("AS rk#") < instants < min(plan.index(f"AS {name}#") for name in ("mdot", "argpdot", "no", "cosi"))
+
+
+def test_caps_of_any_size_reduce_before_the_shuffle(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(raw, "staged", lambda frame, label: seen.append(frame) or frame)
+    rows = spark.range(20000).selectExpr(
+        "concat('s', id % 1) AS source", "id AS seq", "timestamp_seconds(id) AS fetched_at", "CAST(id AS STRING) AS payload"
+    )
+    kept = raw.cap_newest(rows, 5000).agg(F.count("*"), F.min("seq")).first()
+    assert tuple(kept) == (5000, 15000)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    # From the last operator to the first: two ranks, each cut before and after its own shuffle.
+    assert plan.rindex("WindowGroupLimit") > plan.rindex("Exchange")
+    assert plan.count("WindowGroupLimit") == 4
