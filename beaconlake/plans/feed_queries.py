@@ -416,11 +416,24 @@ TLE_SQL = f"""s AS (
   FROM supplier)"""
 
 
-@query("feed_tle", f"WITH {TLE_SQL} SELECT seq, pos, object_name, object_id, 69 AS length1, 69 AS length2 FROM s")
+def _fixed_sql(value: str, width: int, digits: int) -> str:
+    return f"lpad(printf('%.{digits}f', CAST({value} AS DOUBLE)), {width}, ' ')"
+
+
+def _checked_sql(body: str) -> str:
+    digits = f"list_sum(list_transform(regexp_extract_all({body}, '[0-9]'), lambda d: CAST(d AS INTEGER)))"
+    return f"{body} || CAST(({digits} + length({body}) - length(replace({body}, '-', ''))) % 10 AS VARCHAR)"
+
+
+@query("feed_tle", f"""WITH {TLE_SQL}, b AS (SELECT seq, pos, object_name, object_id,
+  '1 ' || object_id || 'U 98067A   24' || {_fixed_sql("epoch_day_of_year", 12, 8)} || '  .00000100  00000-0  12345-4 0  999' AS body1,
+  '2 ' || object_id || ' ' || {_fixed_sql("inclination_deg", 8, 4)} || ' ' || {_fixed_sql("raan_deg", 8, 4)} || ' '
+    || lpad(CAST(ecc7 AS VARCHAR), 7, '0') || ' ' || {_fixed_sql("arg_perigee_deg", 8, 4)} || ' '
+    || {_fixed_sql("mean_anomaly_deg", 8, 4)} || ' ' || {_fixed_sql("mean_motion", 11, 8)} || '    1' AS body2 FROM s)
+SELECT seq, pos, object_name, object_id, {_checked_sql("body1")} AS tle_line1, {_checked_sql("body2")} AS tle_line2 FROM b""")
 def feed_tle(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tle.extract(element_set_payloads(spark, sf_dir))
-    lengths = {"length1": F.length("tle_line1"), "length2": F.length("tle_line2")}
-    return rows.withColumns(lengths).select("seq", "pos", "object_name", "object_id", "length1", "length2")
+    return rows.select("seq", "pos", "object_name", "object_id", "tle_line1", "tle_line2")
 
 
 @query("tle_elements", f"""WITH {TLE_SQL}
