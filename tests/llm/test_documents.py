@@ -345,6 +345,21 @@ def test_disclosing_terms(docs):
     assert not any(s.kind == "term" for r in sanitise.find(copies).collect() for s in r.spans)
 
 
+def marked(frame):
+    return {r.doc_id: [(r.text[s.start : s.end], s.replacement) for s in r.spans if s.kind == "term"] for r in sanitise.find(frame).collect()}
+
+
+def test_terms_of_rare_entities(docs):
+    """Entities with one and two mentions; a word that also stands elsewhere tells less."""
+    rows = [(1, "note from quixley at q@corp.example about item today"), (2, "note from zebulon at z@corp.example about item today")]
+    rows += [(3, "more about zebulon at z@corp.example today"), (4, "note from wanderer w@corp.example today")]
+    rows += [(10 + i, f"note from someone at home about item {i} today and more" + " wanderer" * (i < 3)) for i in range(1500)]
+    found = marked(docs(*rows))
+    assert found.pop(1) == [("quixley", "q*")]
+    assert found.pop(2) == found.pop(3) == [("zebulon", "z*")]
+    assert not any(found.values())
+
+
 # -- mixing
 
 
