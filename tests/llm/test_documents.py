@@ -360,6 +360,15 @@ def test_terms_of_rare_entities(docs):
     assert not any(found.values())
 
 
+def test_copies_of_a_disclosing_text(docs):
+    """A term of four texts that all hold the entity, one of which is copied a thousand times."""
+    rows = [(i, f"note {i} from zebulon at z@corp.example today") for i in range(3, 7)]
+    rows = rows + [(100 + i, rows[0][1]) for i in range(1000)] + [(2000 + i, f"note from someone at home today about {i}") for i in range(1500)]
+    found = marked(docs(*rows))
+    assert all(found[row] == [("zebulon", "")] for row in [*range(3, 7), *range(100, 1100)])
+    assert not any(found[2000 + i] for i in range(1500))
+
+
 # -- mixing
 
 
