@@ -369,6 +369,19 @@ def test_copies_of_a_disclosing_text(docs):
     assert not any(found[2000 + i] for i in range(1500))
 
 
+def test_terms_far_from_the_entity(docs):
+    """Marked in whole texts, also in texts without the entity; names of two letters, codes and words of other scripts too."""
+    far = " and so on" * 40
+    rows = [(i, f"Zebulon 李明 Bo k9x 4711{far} {i} z@corp.example{far} zebulon") for i in range(5)]
+    rows += [(5, "only zebulon, at BO\u0301 or 李明 and e\u0301zebulon or zebulon7"), (6, "bo at home")]
+    rows += [(10 + i, f"someone at home {i} and so on or only") for i in range(1500)]
+    found = marked(docs(*rows))
+    for i in range(5):
+        assert [t for t, _ in found.pop(i)] == ["Zebulon", "李明", "Bo", "k9x", "4711", "zebulon"]
+    assert found.pop(5) == [("zebulon", "z*"), ("李明", "李*")]
+    assert not any(found.values())
+
+
 # -- mixing
 
 
