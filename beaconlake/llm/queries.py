@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconlake.llm import chat, decontaminate, jaccard, langid, mixing, packing, pitman_yor, sanitise, topk, warc
+from beaconlake.llm import chat, crosstoken, decontaminate, jaccard, langid, merkle, mixing, packing, pitman_yor, sanitise, topk, toxicity, warc
 from beaconlake.llm.common import read
-from beaconlake.session import scratch_path
+from beaconlake.session import scratch_path, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -112,3 +112,39 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select(
         "doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken", "mix.full", "mix.parts"
     )
+
+
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = remainder("doc_id", 3)
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels").where(rest != 1))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", F.coalesce(rest == 1, F.lit(False)).alias("held_out"), "toxicity.score", "toxicity.predicted")
+
+
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = crosstoken.align(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    written = F.col("alignment.groups")
+    digest = F.when(written == "", "").otherwise(F.sha2(written.cast("binary"), 256))
+    numbers = ("n_a", "n_b", "n_groups", "n_links")
+    thin = aligned.select("doc_id", *[f"alignment.{c}" for c in numbers], digest.alias("groups_sha256"), F.struct("alignment.a", "alignment.b").alias("alignment"))
+    thin = staged(thin, "alignment")
+    scored = crosstoken.link_scores(thin, crosstoken.link_counts(thin))
+    return scored.select("doc_id", *numbers, "links.n_best", "links.count_sum", "groups_sha256")
+
+
+@query
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    values = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.when(remainder("doc_id", 2) == 0, merkle.leaf(*values, F.replace("text", F.lit("\n"), F.lit(""))))
+    kept = [F.col("doc_id").alias("doc_id"), tampered.alias("tampered")]
+    manifest = merkle.build(docs, F.col("source"), [F.col("doc_id")], merkle.leaf(*values, F.col("text")), kept)
+    proofs = merkle.prove(manifest).withColumn("folded_root", merkle.fold(F.coalesce("tampered", "digest"), F.col("path")))
+    return proofs.select(
+        "doc_id", merkle.hexed(F.col("digest")).alias("leaf"), merkle.hexed(F.col("subroot")).alias("subroot"),
+        merkle.hexed(F.col("root")).alias("root"), F.sha2(merkle.siblings(F.col("path")).cast("binary"), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == merkle.hexed(F.col("root"))).alias("verified"),
+    )
