@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from beaconlake.functions import strict
 from beaconlake.functions.entities import unescape_html
+from beaconlake.functions.paragraphs import paragraphs
 
 # Fixed values.
 MIN_BYTES = 30
@@ -31,22 +32,28 @@ _PARAGRAPH = rf"(?is)<p(?:\s[^>]*)?>(.*?)(?=</(?:{_ENDS})\s*>|<(?:{_STARTS})(?:[
 _TAG = r"(?s)</?[A-Za-z!?][^>]*>"
 
 
-def article_text(html: Column) -> Column:
+def article_text(html: Column, tree: bool = False) -> Column:
     """Paragraphs of more than 30 bytes joined by a blank line, or a fixed notice.
 
     A paragraph ends at its end tag, at the next block element or where its parent
-    ends. Script, style and comment content does not count.
+    ends. Script, style and comment content does not count. With `tree`, paragraphs are
+    those of the page's element tree, at some ten times the cost: lists and tables inside
+    a paragraph's shield stay in it, stray end tags end nothing, and scripts inside a
+    paragraph are text of it.
     """
-    visible = F.regexp_replace(html, _HIDDEN, "")
-    paragraphs = F.regexp_extract_all(visible, F.lit(_PARAGRAPH), F.lit(1))
-    texts = F.transform(paragraphs, lambda p: strict.strip(unescape_html(F.regexp_replace(p, _TAG, ""))))
+    if tree:
+        texts = F.transform(paragraphs(html), strict.strip)
+    else:
+        visible = F.regexp_replace(html, _HIDDEN, "")
+        found = F.regexp_extract_all(visible, F.lit(_PARAGRAPH), F.lit(1))
+        texts = F.transform(found, lambda p: strict.strip(unescape_html(F.regexp_replace(p, _TAG, ""))))
     kept = F.filter(texts, lambda t: F.octet_length(t) > MIN_BYTES)
     return F.coalesce(F.nullif(F.array_join(kept, "\n\n"), F.lit("")), F.lit(NOTICE))
 
 
-def articles(pages: DataFrame) -> DataFrame:
+def articles(pages: DataFrame, tree: bool = False) -> DataFrame:
     """`pages(url, html)` to `(url, article)`."""
-    return pages.select("url", article_text(F.col("html")).alias("article"))
+    return pages.select("url", article_text(F.col("html"), tree).alias("article"))
 
 
 def news_with_text(news: DataFrame, pages: DataFrame) -> DataFrame:

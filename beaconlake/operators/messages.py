@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from beaconlake.functions import text
+from beaconlake.operators.views import ordered
 
 # Fixed values.
 SOURCE_PREFIX = "tg_"
@@ -71,11 +72,12 @@ def cards(rows: DataFrame) -> DataFrame:
     )
 
 
-def rolling_feed(rows: DataFrame, older: int = OLDER_CARDS) -> DataFrame:
+def rolling_feed(rows: DataFrame, older: int = OLDER_CARDS, place: str | None = None) -> DataFrame:
     """The feed after the last poll: all its messages, then the newest `older` of earlier polls.
 
     `rows(poll_id, source, date, seq)`; the order is poll (newest first), source, date.
-    The last poll number is one small aggregate, the older part a distributed top-k.
+    The last poll number is one small aggregate, the older part a distributed top-k. With `place`, each row says where
+    it stands, from 1.
     """
     mine = message_sources(rows)
     last_poll = mine.agg(F.max("poll_id").alias("last_poll")).scalar()
@@ -86,4 +88,5 @@ def rolling_feed(rows: DataFrame, older: int = OLDER_CARDS) -> DataFrame:
         .limit(older)
         .withColumn("part", F.lit("old"))
     )
-    return fresh.unionByName(rest).orderBy(F.desc("poll_id"), "source", "date", "seq")
+    order = [F.desc("poll_id"), F.col("source"), F.col("date"), F.col("seq")]
+    return ordered(fresh.unionByName(rest), order, place)

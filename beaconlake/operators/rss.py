@@ -3,8 +3,10 @@
 Rules kept: tag names are lower-cased; text counts for the start tag right before it,
 and any end tag ends that; repeated title, link, pubDate and description are joined,
 of other repeated tags the last text wins; CDATA is taken as it is; text with an
-unknown entity is skipped; an item without its end tag gives no row. Unlike a parser
-that stops at the first syntax error, items after the error are kept too.
+unknown entity is skipped; an item without its end tag gives no row. Items after a
+syntax error are kept, unless `stop_at_error` is asked for: then the payload ends before
+the first end tag that does not close the element opened last, or the first bracket that
+begins no markup, as for a parser that keeps a stack of open elements.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ _PIECES = r"(?s)(<!\[CDATA\[.*?\]\]>|<!--.*?-->|<\?.*?\?>|[^<]+|<)"
 _ITEM = r"(?is)(<item(?:\s[^>]*)?>.*?</item\s*>)"
 _TAG_AND_TEXT = r"(?s)<([\p{L}_:][^\s<>/]*)[^<>]*>([^<]*)"
 _EVENT = f"({OPEN}[^{CLOSE}]*{CLOSE}|[^{OPEN}{GAP}]+)"
+_MARKUP = "<[^<>]+>"
 _EDGE = r"^[ \t\r\n]+|[ \t\r\n]+$"
 
 # Tags that become columns.
@@ -82,8 +85,43 @@ def _metadata() -> Column:
     return F.to_json(F.map_from_entries(last))
 
 
-def extract(payloads: DataFrame) -> DataFrame:
-    items = payloads.select("source", "seq", "fetched_at", F.posexplode(_all(_protected(F.col("payload")), _ITEM)).alias("pos", "item"))
+def _until_error(content: Column) -> Column:
+    """What stands before the first syntax error: a fold over the tags with the names of the elements open."""
+    lead, tag = F.split(content, _MARKUP, -1).alias("lead"), _all(content, _MARKUP, 0).alias("tag")
+    # The text behind the last tag comes with an empty one.
+    tokens = F.transform(
+        F.arrays_zip(lead, tag),
+        lambda t: F.struct(
+            t["lead"].alias("lead"), F.coalesce(t["tag"], F.lit("")).alias("tag"), F.regexp_extract(t["tag"], r"^</?([^\s<>/]*)", 1).alias("name")
+        ),
+    )
+    start = F.struct(
+        F.lit(0).alias("at"), F.lit(None).cast("int").alias("error"), F.array().cast("array<string>").alias("open")
+    )
+
+    def step(state: Column, t: Column) -> Column:
+        ends, depth = t["tag"].startswith("</"), F.size(state["open"])
+        closes = F.coalesce(F.try_element_at(state["open"], F.lit(-1)) == t["name"], F.lit(False))
+        stray = F.instr(t["lead"], "<")
+        error = F.when(stray > 0, state["at"] + stray - 1).when(ends & ~closes, state["at"] + F.length(t["lead"]))
+        left = F.when(ends & (depth > 0), F.slice(state["open"], F.lit(1), F.greatest(depth - 1, F.lit(0)))).when(
+            ends | (t["tag"] == "") | t["tag"].startswith("<!"), state["open"]
+        ).otherwise(F.array_append(state["open"], t["name"]))
+        return F.struct(
+            (state["at"] + F.length(t["lead"]) + F.length(t["tag"])).alias("at"), F.coalesce(state["error"], error).alias("error"),
+            left.alias("open"),
+        )
+
+    return F.aggregate(tokens, start, step, lambda state: F.substring(content, F.lit(1), F.coalesce(state["error"], F.length(content))))
+
+
+def extract(payloads: DataFrame, stop_at_error: bool = False) -> DataFrame:
+    content = _protected(F.col("payload"))
+    if stop_at_error:
+        # The generator keeps the content from being made again for each use.
+        payloads = payloads.select("source", "seq", "fetched_at", F.explode(F.array(content)).alias("content"))
+        content = _until_error(F.col("content"))
+    items = payloads.select("source", "seq", "fetched_at", F.posexplode(_all(content, _ITEM)).alias("pos", "item"))
     # An item opened again before its end starts over.
     fresh = F.regexp_replace("item", r"(?is)^.+(?=<item[\s>])", "")
     events = items.select(*LINEAGE, F.explode(F.array(_events(fresh))).alias("events"))

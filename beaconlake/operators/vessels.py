@@ -13,10 +13,14 @@ needed: after a `set` row the state can change at most once more, at the first r
 that gives a name. So a running state is a few window functions over the rows since
 the last `set`.
 
-A vessel may hold a large share of all rows, so windows run over pieces of its
-history (`seq` cut every `PIECE` payloads). What a whole piece does to the state is
-again one update of the same form, so the same function over the piece summaries
-gives the state each piece starts from.
+A vessel may hold a large share of all rows (records without a number are vessel 0), so
+windows run over pieces of its history, `PIECE` rows each: rows of long histories are
+numbered by ranges and counts, whatever number of them a payload holds. What a whole
+piece does to the state is again one update of the same form, so the same function over
+the piece summaries gives the state each piece starts from.
+
+The last state alone needs no window: it is the last `set` and the first naming after
+it, two aggregates that reduce before the shuffle.
 """
 
 from __future__ import annotations
@@ -27,9 +31,10 @@ from pyspark.sql import functions as F
 from beaconlake.functions import strict
 from beaconlake.functions.pieces import piece_of
 from beaconlake.operators import feeds
+from beaconlake.operators.ranks import numbered
 from beaconlake.session import staged
 
-PIECE = 1 << 22
+PIECE = 1 << 20
 
 # Fixed values.
 UNNAMED = ("", "Unknown")
@@ -187,9 +192,20 @@ def _since_last_set(updates: DataFrame, keys: list[str], order: list[str]) -> Da
     )
 
 
+def _cut(updates: DataFrame, piece: int) -> DataFrame:
+    """Updates with `piece`, the number of a stretch of `piece` rows in the history of the vessel."""
+    sizes = updates.groupBy("mmsi").agg(F.count("*").alias("n_rows"))
+    long = staged(sizes.where(F.col("n_rows") > piece).select("mmsi"), "long-histories")
+    if long.isEmpty():
+        return updates.withColumn("piece", F.lit(0).cast("bigint"))
+    short = updates.join(long, "mmsi", "left_anti").withColumn("piece", F.lit(0).cast("bigint"))
+    order = [F.col("seq"), F.col("pos")]
+    cut = numbered(updates.join(long, "mmsi", "left_semi"), order, ["mmsi"]).withColumn("piece", piece_of("place", piece))
+    return short.unionByName(cut.drop("place"))
+
+
 def _pieces(updates: DataFrame, piece: int) -> DataFrame:
-    cut = updates.withColumn("piece", piece_of("seq", piece))
-    return _since_last_set(cut, ["mmsi", "piece"], ["seq", "pos"])
+    return _since_last_set(_cut(updates, piece), ["mmsi", "piece"], ["seq", "pos"])
 
 
 def _piece_updates(pieces: DataFrame) -> DataFrame:
@@ -225,9 +241,9 @@ def _piece_states(pieces: DataFrame) -> DataFrame:
 def running_state(updates: DataFrame, piece: int = PIECE, stage: bool = True) -> DataFrame:
     """Updates with `state`: name, type and destination known right after each of them.
 
-    Updates are read twice, for the piece summaries and for the rows. They are staged
-    first, so that payloads are parsed once; pass `stage=False` for updates that come
-    from a table already.
+    Updates are read for the sizes of the histories, the piece summaries and the rows. They
+    are staged first, so that payloads are parsed once; pass `stage=False` for updates that
+    come from a table already.
     """
     pieces = _pieces(staged(updates, "vessel-updates") if stage else updates, piece)
     before = F.lag("state").over(Window.partitionBy("mmsi").orderBy("piece"))
@@ -251,11 +267,32 @@ def enriched(updates: DataFrame, piece: int = PIECE, stage: bool = True) -> Data
     )
 
 
-def vessel_state(updates: DataFrame, piece: int = PIECE) -> DataFrame:
+def _state_of(rows: DataFrame, *last: Column) -> DataFrame:
+    """mmsi, `state` after the rows of each vessel, and further aggregates of them."""
+    act = F.col("act")
+    base = F.max(F.when(act == "set", F.struct("seq", "pos", "name", "ship_type", "destination"))).alias("base")
+    ends = rows.groupBy("mmsi").agg(base, *last)
+    naming = (act == "dummy") | _named(F.col("name"))
+    since = rows.where(act.isin("name", "dummy")).select("mmsi", "seq", "pos", "act", "name")
+    since = since.join(ends.select("mmsi", F.struct("base.seq", "base.pos").alias("from"), F.col("base").isNull().alias("new")), "mmsi")
+    since = since.where(F.col("new") | (F.struct("seq", "pos") > F.col("from"))).groupBy("mmsi").agg(
+        F.min(F.when(naming, F.struct("seq", "pos", "act", "name"))).alias("naming"),
+        F.max(F.when(~naming, F.struct("seq", "pos", "name"))).alias("blank"),
+    )
+    known = F.when(F.col("base").isNotNull(), _meta(F.col("base.name"), F.col("base.ship_type"), F.col("base.destination")))
+    state = _advance(F.coalesce(known, _initial()), F.col("naming"), F.col("blank.name"))
+    return ends.join(since, "mmsi", "left").withColumn("state", state).drop("base", "naming", "blank")
+
+
+def _last_report(*columns: str, where: Column) -> Column:
+    return F.max(F.when(where, F.struct("seq", "pos", *columns)))
+
+
+def vessel_state(updates: DataFrame, stage: bool = True) -> DataFrame:
     """Last known state per vessel. Vessels without a report have last_seen 0 and position 0, 0."""
-    ends = _piece_states(_pieces(updates, piece))
-    last = ends.groupBy("mmsi").agg(F.max_by("state", "piece").alias("state"), F.max("live").alias("live"))
-    return last.select(
+    rows = staged(updates, "vessel-updates") if stage else updates
+    live = _last_report("fetched_at", "latitude", "longitude", "nav_status", where=F.col("live"))
+    return _state_of(rows, live.alias("live")).select(
         "mmsi",
         "state.name",
         "state.ship_type",
@@ -267,6 +304,22 @@ def vessel_state(updates: DataFrame, piece: int = PIECE) -> DataFrame:
     )
 
 
+def last_reports(updates: DataFrame, stage: bool = True) -> DataFrame:
+    """The last located report of each vessel, with static data as of its arrival: one row per vessel of `enriched`."""
+    rows = staged(updates, "vessel-updates") if stage else updates
+    located = F.col("live") & ~F.isnan("latitude") & ~F.isnan("longitude")
+    report = ["source", "fetched_at", "act", "latitude", "longitude", "sog", "cog", "nav_status", "given_name"]
+    last = rows.groupBy("mmsi").agg(_last_report(*report, where=located).alias("last")).where("last IS NOT NULL")
+    until = rows.join(last.select("mmsi", F.struct("last.seq", "last.pos").alias("until")), "mmsi")
+    state = _state_of(until.where(F.struct("seq", "pos") <= F.col("until")).drop("until"))
+    found = last.join(state, "mmsi").select("mmsi", "last.*", "state")
+    name = F.when(F.col("act") == "dummy", F.col("state.name")).otherwise(F.col("given_name"))
+    return found.select(
+        *feeds.LINEAGE, "mmsi", "latitude", "longitude", "sog", "cog", "nav_status",
+        name.alias("name"), "state.ship_type", "state.destination", F.col("state.name").alias("known_name"),
+    )
+
+
 # -- questions on the state
 
 

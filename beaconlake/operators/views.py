@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconlake.operators.geometry import located, point
+from beaconlake.operators.ranks import numbered
 from beaconlake.session import staged
 
 # Port codes and names, and the order keywords of the grid.
@@ -85,13 +86,19 @@ def chokepoints(records: DataFrame) -> DataFrame:
     return rows.select(front_first(rows.columns))
 
 
-def latest_first(rows: DataFrame, column: str = "date") -> DataFrame:
-    return rows.orderBy(F.desc_nulls_first(column))
+def ordered(rows: DataFrame, order: list[Column], place: str | None = None) -> DataFrame:
+    """Rows in an order; with `place`, each row says where it stands, from 1, and need not be read in order."""
+    return numbered(rows, order, place=place, start=1) if place else rows.orderBy(*order)
 
 
-def by_volume(markets: DataFrame) -> DataFrame:
+def latest_first(rows: DataFrame, column: str = "date", ties: tuple[str, ...] = (), place: str | None = None) -> DataFrame:
+    """Latest first, rows without a date before all others; `ties` order rows of one date."""
+    return ordered(rows, [F.desc_nulls_first(column), *map(F.col, ties)], place)
+
+
+def by_volume(markets: DataFrame, ties: tuple[str, ...] = (), place: str | None = None) -> DataFrame:
     """Largest volume first; markets without volume come before all others."""
-    return markets.orderBy(F.desc_nulls_first("volume"))
+    return ordered(markets, [F.desc_nulls_first("volume"), *map(F.col, ties)], place)
 
 
 def newest(rows: DataFrame, limit: int, *order: Column, where: Column | None = None) -> DataFrame:

@@ -474,8 +474,8 @@ NEWS_SQL = """n AS (
   FROM documents)"""
 
 
-def news_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RSS with escaped titles, whole documents as CDATA, repeated and nested tags, comments."""
+def news_payloads(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
+    """RSS with escaped titles, whole documents as CDATA, repeated and nested tags, comments; some items with errors if `broken`."""
     docs = table(spark, sf_dir, "documents").withColumn("at", F.timestamp_seconds(F.lit(0)))
     key = F.col("doc_id").cast("string")
     item = F.concat(
@@ -488,6 +488,10 @@ def news_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<category domain='d'>"), "source", F.lit("<sub>"), key, F.lit("</sub>lost</category>"),
         F.lit("<broken>&nbsp;</broken></item>"),
     )
+    if broken:
+        item = F.when(F.col("doc_id") % 37 == 5, F.lit("<item><title>x</titel><link>y</link></item>")).when(
+            F.col("doc_id") % 41 == 6, F.lit("<item><title>a < b</title></item>")
+        ).otherwise(item)
     return pages_of(
         docs, "doc_id", item, "bbc", "<?xml version='1.0'?><rss><channel><title>all</title>",
         "<item><title>half", size=20, fetched_at="at", separator="\n",
@@ -500,3 +504,12 @@ SELECT seq, pos, title, link, "pubDate", trim(text, chr(32) || chr(9) || chr(10)
 FROM n""")
 def feed_rss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rss.extract(news_payloads(spark, sf_dir)).drop("source", "fetched_at")
+
+
+@query("feed_rss_strict", f"""WITH {NEWS_SQL},
+bad AS (SELECT seq, min(pos) AS broken FROM n WHERE doc_id % 37 = 5 OR doc_id % 41 = 6 GROUP BY seq)
+SELECT seq, pos, title, link, "pubDate", trim(text, chr(32) || chr(9) || chr(10) || chr(13)) AS description,
+       '{{"category":"' || source || '","dc:lang":"' || lang || '","sub":"' || doc_id || '"}}' AS metadata
+FROM n LEFT JOIN bad USING (seq) WHERE broken IS NULL OR pos < broken""")
+def feed_rss_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rss.extract(news_payloads(spark, sf_dir, broken=True), stop_at_error=True).drop("source", "fetched_at")

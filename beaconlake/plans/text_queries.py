@@ -15,9 +15,11 @@ POLLED_SQL = """m AS (
 
 
 @query("message_feed", f"""WITH {POLLED_SQL}, t AS (SELECT * FROM m WHERE source LIKE 'tg\\_%' ESCAPE '\\')
+, p AS (
 SELECT poll_id, source, date, seq, 'new' AS part FROM t WHERE poll_id = (SELECT max(poll_id) FROM t)
 UNION ALL (SELECT poll_id, source, date, seq, 'old' FROM t WHERE poll_id < (SELECT max(poll_id) FROM t)
-           ORDER BY poll_id DESC, source, date, seq LIMIT 100)""")
+           ORDER BY poll_id DESC, source, date, seq LIMIT 100))
+SELECT *, row_number() OVER (ORDER BY poll_id DESC, source, date, seq) AS place FROM p""")
 def message_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
     rows = c.select(
@@ -26,7 +28,7 @@ def message_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(1710760000) + F.col("conv_id") * 7919 % 86400).alias("date"),
         (F.col("conv_id") * 1000 + F.col("turn")).alias("seq"),
     )
-    return messages.rolling_feed(rows)
+    return messages.rolling_feed(rows, place="place")
 
 
 @query("message_cards", """
@@ -134,6 +136,11 @@ def article_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return articles.articles(table(spark, sf_dir, "pages"))
 
 
+@query("article_tree", f"WITH {ARTICLE_SQL} SELECT url, article FROM a")
+def article_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return articles.articles(table(spark, sf_dir, "pages"), tree=True)
+
+
 @query("news_with_text", f"""WITH {ARTICLE_SQL},
 n AS (SELECT doc_id, CASE WHEN lang <> 'de' THEN 'Doc ' || doc_id END AS title,
              CASE WHEN lang <> 'es' THEN coalesce(url, 'https://nowhere.example.com/' || doc_id) END AS link,

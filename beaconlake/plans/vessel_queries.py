@@ -227,7 +227,8 @@ def latest_vessels(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("cargo_tankers", f"""SELECT * FROM ({_enriched_sql(False)}
 QUALIFY row_number() OVER (PARTITION BY o.mmsi ORDER BY o.event_id DESC) = 1) WHERE ship_type BETWEEN 70 AND 89""")
 def cargo_tankers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vessels.cargo_tankers(vessels.enriched(vessels.ais_updates(ais_payloads(spark, sf_dir)))).select(ROW)
+    reports = vessels.last_reports(vessels.ais_updates(ais_payloads(spark, sf_dir)))
+    return reports.where(vessels.is_cargo_or_tanker()).select(ROW)
 
 
 @query("bbox_filter", f"""WITH {EVENTS_SQL}

@@ -117,21 +117,23 @@ def chokepoints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("fred_latest_first", f"""WITH {EVENTS_SQL}
-SELECT strftime(ts, '%Y-%m-%d') AS date, CASE WHEN event_type NOT IN ('error', 'view') THEN value END AS value
-FROM e ORDER BY date DESC""")
+SELECT strftime(ts, '%Y-%m-%d') AS date, CASE WHEN event_type NOT IN ('error', 'view') THEN value END AS value,
+       row_number() OVER (ORDER BY strftime(ts, '%Y-%m-%d') DESC, event_id) AS place FROM e""")
 def fred_latest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = feeds.extract(fred_payloads(spark, sf_dir), feeds.FEEDS["fred"])
-    return views.latest_first(rows.select("date", "value"))
+    return views.latest_first(rows, ties=("seq", "pos"), place="place").select("date", "value", "place")
 
 
 @query("markets_by_volume", f"""WITH {EVENTS_SQL}
 SELECT CASE WHEN event_type NOT IN ('view', 'signup') THEN 'E' || event_id END AS title,
-       CASE WHEN event_type NOT IN ('error', 'signup') THEN value END AS volume
-FROM e ORDER BY volume DESC NULLS FIRST""")
+       CASE WHEN event_type NOT IN ('error', 'signup') THEN value END AS volume,
+       row_number() OVER (ORDER BY CASE WHEN event_type NOT IN ('error', 'signup') THEN value END DESC NULLS FIRST, event_id) AS place
+FROM e""")
 def markets_by_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = element(obj(title=txt(E.label), volume=num(E.value)))
     payloads = pages_of(events(spark, sf_dir), "event_id", record, "polymarket")
-    return views.by_volume(feeds.extract(payloads, feeds.FEEDS["polymarket"]).select("title", "volume"))
+    markets = feeds.extract(payloads, feeds.FEEDS["polymarket"])
+    return views.by_volume(markets, ties=("seq", "pos"), place="place").select("title", "volume", "place")
 
 
 def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:

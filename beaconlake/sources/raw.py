@@ -31,13 +31,43 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_SCHEMA).parquet(path).select(RAW_COLUMNS)
 
 
+def _escaped(payload: Column) -> Column:
+    escaped = F.replace(payload, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(escaped, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def _unescaped(content: Column) -> Column:
+    parts = F.transform(F.split(content, r"\\\\", -1), lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.array_join(parts, "\\")
+
+
 def write_snapshots(payloads: DataFrame, path: str) -> None:
-    """Land each payload as a file of its own: `source=<name>/seq=<n>/part-*.txt`."""
-    payloads.select("source", "seq", "payload").write.partitionBy("source", "seq").text(path)
+    """Land polled bodies, many to a file: one folder per source, a line per body.
+
+    A line is `<seq> TAB <fetch time in microseconds> TAB <body>`, the body's backslashes and line breaks escaped. Files
+    follow the tasks that write, not the payloads; further landings add files.
+    """
+    line = F.concat_ws("\t", F.col("seq").cast("string"), F.unix_micros(F.col("fetched_at").cast("timestamp")).cast("string"), _escaped(F.col("payload")))
+    payloads.select("source", line.alias("value")).write.mode("append").partitionBy("source").text(path)
+
+
+_SNAPSHOT = "^(-?[0-9]+)\t(-?[0-9]+)\t"
 
 
 def read_snapshots(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """Polled snapshots: each file is one payload, its write time the fetch time."""
+    """Polled snapshots as `write_snapshots` landed them; other lines are left out."""
+    reader = spark.readStream if stream else spark.read
+    lines = reader.schema("value string, source string").text(path)
+    number = lambda group: F.nullif(F.regexp_extract("value", _SNAPSHOT, group), F.lit("")).try_cast("bigint")
+    rows = lines.select(
+        "source", number(1).alias("seq"), F.timestamp_micros(number(2)).alias("fetched_at"),
+        _unescaped(F.regexp_replace("value", _SNAPSHOT, "")).alias("payload"),
+    )
+    return rows.where(F.col("seq").isNotNull())
+
+
+def read_snapshot_files(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+    """Snapshots that others landed as `source=<name>/seq=<n>/<file>`: each file is one payload, its write time the fetch time."""
     reader = spark.readStream if stream else spark.read
     files = reader.schema("value string, source string, seq bigint").text(path, wholetext=True)
     return files.select("source", "seq", file_time().alias("fetched_at"), F.col("value").alias("payload"))
@@ -48,10 +78,9 @@ def write_messages(payloads: DataFrame, path: str) -> None:
 
     A payload with line breaks is written as `<seq>e TAB <payload>`, its backslashes and line breaks escaped.
     """
-    escaped = F.replace(F.replace(F.replace("payload", F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
     broken = F.col("payload").rlike("[\r\n]")
     number = F.concat(F.col("seq").cast("string"), F.when(broken, "e").otherwise(""))
-    line = F.concat_ws("\t", number, F.when(broken, escaped).otherwise(F.col("payload")))
+    line = F.concat_ws("\t", number, F.when(broken, _escaped(F.col("payload"))).otherwise(F.col("payload")))
     payloads.select("source", line.alias("value")).write.partitionBy("source").text(path)
 
 
@@ -69,8 +98,7 @@ def _message_lines(spark: SparkSession, path: str, stream: bool) -> DataFrame:
 def read_messages(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
     """Message frames: each line is one payload after its arrival number; other lines are left out."""
     rest = F.regexp_replace("value", _MESSAGE, "")
-    parts = F.transform(F.split(rest, r"\\\\", -1), lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
-    payload = F.when(F.col("value").rlike("^-?[0-9]+e\t"), F.array_join(parts, "\\")).otherwise(rest)
+    payload = F.when(F.col("value").rlike("^-?[0-9]+e\t"), _unescaped(rest)).otherwise(rest)
     rows = _message_lines(spark, path, stream).where(F.col("seq").isNotNull())
     return rows.select("source", "seq", "fetched_at", payload.alias("payload"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from beaconlake.functions import text
 from beaconlake.functions.entities import unescape_html, unescape_xml
+from beaconlake.functions.paragraphs import paragraphs
 from beaconlake.operators import articles, geometry, messages, views
 from beaconlake.sources import registry
 
@@ -117,6 +118,39 @@ def test_article_rules(spark):
     assert {r.html: r.got for r in frame.collect()} == cases
 
 
+def test_paragraphs_of_the_element_tree(spark):
+    """What a tree builder by the HTML standard gives; d marks a page with a doctype."""
+    d = "<!DOCTYPE html>"
+    cases = {
+        f"{d}<p>a<ul><li>b<p>c<li>d</ul>e": ["a", "c"],
+        f"{d}<p>one<span></div>two</p>three": ["onetwo"],
+        f"{d}<div><p>one<span>two</div>three": ["onetwo"],
+        f"{d}<p>a<button><p>b<div>c</div></button>d</p>e": ["abcd", "b"],
+        f"{d}<p>a<object><ul><li>x<li>y</ul></object>b<p>c": ["axyb", "c"],
+        f"{d}<p>a<table><tr><td>b<p>c</table>d": ["a", "c"],
+        "<p>a<table><tr><td>b<p>c<td>e</table>d</p>f": ["abced", "c"],
+        f"{d}<table><tr><td><p>a<td><p>b<tr><td>c<p>d</table><p>e": ["a", "b", "d", "e"],
+        f"{d}<table><tr><td><p>a</tr>b</table>": ["a"],
+        f"{d}<dl><dt><p>a<dd>b<p>c</dl>d": ["a", "c"],
+        f"{d}<ul><li><p>a<div><p>b<li>c</ul>": ["a", "b"],
+        f"{d}<ul><li><p>a<ul><li>b</ul>c<p>e</li></ul>": ["a", "e"],
+        f"{d}<h1>t<p>a</h2>b": ["a"],
+        f"{d}<p>a<hr>b<p>c<br>d<img src=x>e": ["a", "cde"],
+        f"{d}<p>a</li></td></tr>b</body></html>c": ["abc"],
+        f"{d}<P>x<!-- </p> -->y<script>'</p>&amp;'</script>z&amp;&lt;</P>": ["xy'</p>&amp;'z&<"],
+        f"{d}<p>a<template><p>b</template>c": ["ac"],
+        f"{d}<p>a&am<b>p;</b>": ["a&amp;"],
+        f"{d}<form><p>a<td>b</form>c": ["ab"],
+        f"{d}</p>a<p></p><p>b": ["", "b"],
+        "": [],
+        "no markup": [],
+    }
+    frame = spark.createDataFrame([(i, k) for i, k in enumerate(cases)], "i int, html string")
+    got = {r.i: r.p for r in frame.select("i", paragraphs(F.col("html")).alias("p")).collect()}
+    assert [got[i] for i in range(len(cases))] == list(cases.values())
+    assert spark.createDataFrame([(None,)], "html string").select(paragraphs(F.col("html"))).first()[0] is None
+
+
 def test_references(spark):
     frame = spark.createDataFrame([("a &lt;b&gt; &#8364; &nope; & &copy;",), ("&amp;lt; &#x1F600;",), ("plain",)], "s string")
     got = [(r[0], r[1]) for r in frame.select(unescape_html(F.col("s")), unescape_xml(F.col("s"))).collect()]

@@ -34,7 +34,7 @@ def check(updates, piece):
     after, last = fold(updates.collect())
     running = vessels.running_state(updates, piece).select("seq", "pos", "mmsi", "state.name", "state.ship_type", "state.destination")
     assert sorted(tuple(r) for r in running.collect()) == after
-    assert sorted(tuple(r) for r in vessels.vessel_state(updates, piece).collect()) == last
+    assert sorted(tuple(r) for r in vessels.vessel_state(updates).collect()) == last
 
 
 @pytest.mark.parametrize("piece", [vessels.PIECE, 97, 1])
@@ -82,13 +82,41 @@ def test_latest_is_the_last_row_not_any(spark):
     assert vessels.cargo_tankers(rows.withColumn("latitude", F.when(F.col("seq") < 298, F.col("latitude")))).count() == 3
 
 
-def test_a_hot_vessel_is_reduced_before_the_shuffle(spark):
+def snapshots_of_vessel_0(spark, payloads=6, records=4000):
+    """Digitraffic snapshots whose records have no number, so that all of them are vessel 0, and a few of vessel 5."""
+    record = F.format_string(
+        '{"properties":{"sog":1.5,"navStat":0%s},"geometry":{"coordinates":[%s,2.5]}}',
+        F.when(F.col("i") % 1000 == 7, ',"mmsi":5').otherwise(""), (F.col("i") % 90 + 1).cast("string"),
+    )
+    ids = spark.range(payloads).select(F.col("id").alias("seq"), F.explode(F.sequence(F.lit(0), F.lit(records - 1))).alias("i"))
+    listed = ids.groupBy("seq").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", record.alias("r")))), lambda x: x["r"]), ",").alias("body"))
+    return listed.select(
+        F.lit("digitraffic").alias("source"), "seq", F.timestamp_seconds(F.col("seq") + 1710760000).alias("fetched_at"),
+        F.concat(F.lit('{"features":['), "body", F.lit("]}")).alias("payload"),
+    )
+
+
+def test_a_hot_vessel_within_a_payload_is_cut_by_rows(spark):
+    updates = vessels.digitraffic_updates(snapshots_of_vessel_0(spark)).cache()
+    piece = 1500
+    check(updates, piece)
+    cut = vessels._cut(updates, piece)
+    sizes = cut.groupBy("mmsi", "piece").count().collect()
+    assert max(r["count"] for r in sizes) <= piece
+    assert len([r for r in sizes if r.mmsi == 0]) == 16 and [r.piece for r in sizes if r.mmsi == 5] == [0]
+
+
+def test_the_state_is_reduced_before_the_shuffle(spark):
     updates = polls.vessel_updates(mixed_payloads(spark, SF), MIXED_SOURCES)
-    plan = vessels.running_state(updates)._jdf.queryExecution().executedPlan().toString()
-    windows = [line for line in plan.splitlines() if " Exchange hashpartitioning" in line]
-    wide = [line for line in windows if "piece" not in line]
-    # only the summary with one row per vessel and piece is distributed by the vessel alone
-    assert len(wide) == 1 and "Python" not in plan
+    plan = vessels.vessel_state(updates)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan and "Window" not in plan and "Python" not in plan
+
+
+def test_last_reports_are_the_last_rows_of_enriched(spark):
+    updates = polls.vessel_updates(mixed_payloads(spark, SF), MIXED_SOURCES).cache()
+    wanted = vessels.latest(vessels.enriched(updates).dropna(subset=["longitude", "latitude"]))
+    got = vessels.last_reports(updates).select(wanted.columns)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, wanted.collect()), key=repr)
 
 
 def test_failure_streaks(spark):
