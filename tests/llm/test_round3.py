@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from beaconlake.llm import crosstoken, merkle, queries, toxicity
+from beaconlake.llm import crosstoken, merkle, queries, sanitise, toxicity
 from beaconlake.llm.common import prepared
 from beaconlake.llm.crosstoken import VOCABULARY_A, VOCABULARY_B
 
@@ -257,3 +257,18 @@ def test_windows_cover_all_letters():
         whole = b"".join(toxicity.windows(text))
         assert whole.replace(b" ", b"") == toxicity._OTHER.sub(b"", (text or "").lower().encode())
         assert all(len(w) <= 2 * toxicity.WINDOW for w in toxicity.windows(text))
+
+
+# -- sanitising long texts
+
+
+def test_terms_of_a_text_with_many_different_words(docs):
+    """Every word stands here alone, so each is marked where it stands; time must not grow with the square of the text."""
+    pick = random.Random(9)
+    words = ["".join(pick.choices("abcdefghij", k=8)) for _ in range(12_000)]
+    text = " ".join(words) + " z@corp.example " + ", ".join(str(pick.randrange(10**6, 10**7)) for _ in range(3000))
+    frame = docs((1, text), *[(10 + i, f"a short note {i}") for i in range(1500)])
+    row = next(r for r in sanitise.find(frame).collect() if r.doc_id == 1)
+    terms = [text[s.start : s.end] for s in row.spans if s.kind == "term"]
+    assert terms[:12_000] == words and len(terms) == 15_000
+    assert [(s.kind, text[s.start : s.end]) for s in row.spans if s.kind != "term"] == [("email", "z@corp.example")]
