@@ -478,17 +478,20 @@ def constants(orbits: DataFrame, gravity: Gravity = WGS84) -> DataFrame:
 
     `orbits` has the columns of `tle.elements`.
     """
-    df = orbits.select(
-        F.struct("*").alias(GIVEN),
-        "usable",
-        F.when(F.col("usable"), F.col("epoch_day")).alias("epoch_day"),
-        F.col("bstar"),
-        F.col("eccentricity").alias("ecc"),
-        F.radians("inclination_deg").alias("incl"),
-        F.radians("raan_deg").alias("node"),
-        F.radians("arg_perigee_deg").alias("argp"),
-        F.radians("mean_anomaly_deg").alias("mean"),
-        F.when(F.col("usable"), F.col("mean_motion") * (TWO_PI / 1440.0)).alias("kozai"),
+    # The generator parts the model from the table below: rules that look for a scan would take all its lines apart.
+    held = orbits.select(F.explode(F.array(F.struct("*"))).alias(GIVEN))
+    usable = F.col(f"{GIVEN}.usable")
+    df = held.select(
+        GIVEN,
+        usable.alias("usable"),
+        F.when(usable, F.col(f"{GIVEN}.epoch_day")).alias("epoch_day"),
+        F.col(f"{GIVEN}.bstar").alias("bstar"),
+        F.col(f"{GIVEN}.eccentricity").alias("ecc"),
+        F.radians(f"{GIVEN}.inclination_deg").alias("incl"),
+        F.radians(f"{GIVEN}.raan_deg").alias("node"),
+        F.radians(f"{GIVEN}.arg_perigee_deg").alias("argp"),
+        F.radians(f"{GIVEN}.mean_anomaly_deg").alias("mean"),
+        F.when(usable, F.col(f"{GIVEN}.mean_motion") * (TWO_PI / 1440.0)).alias("kozai"),
     )
     df = _stage(df, _initial(gravity))
     df = _stage(df, _THIRD_BODIES, "deep")

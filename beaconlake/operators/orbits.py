@@ -12,8 +12,9 @@ from beaconlake.operators import tle
 EARTH_RADIUS_KM = 6371.0
 EARTH_TURN_DEG = 360.985647366
 
-# Steps of a grid that share one computation of the orbit's constants.
+# Steps of a grid that share one computation of the orbit's constants, and stretches that a task works off.
 STRETCH = 1024
+STRETCHES_PER_TASK = 64
 
 
 def days_since_2000(at: Column) -> Column:
@@ -75,8 +76,9 @@ def ground_tracks(
     """Positions at every step from start to end, without a join. The step is a positive interval of days or less.
 
     Element sets are few bytes and their tracks much work. Each satellite first makes stretches of `STRETCH`
-    steps, and these are dealt out in turn over `spark.sql.shuffle.partitions` tasks, so neither one long grid nor
-    sets that occur very often meet in a task. A stretch computes the constants of its orbit once, then its instants.
+    steps; these are counted and dealt out in turn, `STRETCHES_PER_TASK` to a task or fewer if cores are idle, so neither
+    one long grid nor sets that occur very often meet in a task. A stretch computes the constants of its orbit once,
+    then its instants.
     """
     spark = element_sets.sparkSession
     given = element_sets.columns
@@ -84,7 +86,9 @@ def ground_tracks(
     stretches = element_sets.withColumn("grid", grid).withColumn(
         "first", F.explode(F.sequence("grid.start", "grid.end", F.col("grid.step") * STRETCH))
     )
-    dealt = stretches.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    count = stretches.count()
+    tasks = max(-(-count // STRETCHES_PER_TASK), min(count, spark.sparkContext.defaultParallelism), 1)
+    dealt = stretches.repartition(tasks)
     orbits = sgp4.constants(tle.elements(dealt), gravity)
     last = F.least(F.col("given.grid.end"), F.col("given.first") + F.col("given.grid.step") * (STRETCH - 1))
     timed = orbits.withColumn("at", F.explode(F.sequence(F.col("given.first"), last, F.col("given.grid.step"))))

@@ -142,13 +142,15 @@ state AS (
 def _enriched_sql(mixed: bool, where: str = "TRUE", extra: str = "") -> str:
     return f"""{fold_sql(mixed)}
 SELECT o.event_id AS seq, o.mmsi, o.lat AS latitude, o.lon AS longitude,
-       CASE WHEN o.source = 'digitraffic' AND k = 99 THEN NULL ELSE o.value END AS sog, CAST(o.nav AS BIGINT) AS nav_status,
+       CASE WHEN o.source = 'digitraffic' AND k = 99 THEN NULL ELSE o.value END AS sog,
+       CASE WHEN o.source = 'ais_stream' THEN CAST(90 AS DOUBLE) WHEN o.source = 'digitraffic' AND k < 99 THEN o.value END AS cog,
+       CAST(o.nav AS BIGINT) AS nav_status,
        CASE WHEN o.source = 'digitraffic' THEN s_name WHEN o.source = 'ais_stream' AND k >= 50 THEN 'SHIP ' || k || ' ' ELSE o.name END AS name,
        s_type AS ship_type, s_dest AS destination{extra}
 FROM o JOIN f ON f.mmsi = o.mmsi AND f.rn = o.rn WHERE o.live AND {where}"""
 
 
-ROW = ["seq", "mmsi", "latitude", "longitude", "sog", "nav_status", "name", "ship_type", "destination"]
+ROW = ["seq", "mmsi", "latitude", "longitude", "sog", "cog", "nav_status", "name", "ship_type", "destination"]
 
 
 @query("feed_ais", _enriched_sql(False))
