@@ -2,9 +2,10 @@
 
 A text is cut into windows of about `WINDOW` bytes at blanks. Each window is compressed twice, with a zstandard
 dictionary trained on toxic text and with one trained on ordinary text; the difference of the two lengths is its
-evidence. A window counts at each of `LEVELS` when its difference reaches that many bytes. How often windows of
-ordinary text do so is measured on texts the dictionaries have not seen; a text's counts are compared with what that
-rate lets expect, and a logistic curve fitted on the same unseen texts turns them into a probability.
+evidence, in bytes up to `MOST`. How often windows of ordinary and of toxic texts reach each threshold is measured on
+texts the dictionaries have not seen. A text's counts are compared with what the ordinary rates let expect, its
+differences are weighed by how much likelier they are in toxic texts, and a logistic curve fitted on the same unseen
+texts turns both into a probability.
 
 Most windows of a toxic text are ordinary, so the toxic dictionary is trained in `STAGES` on selected windows. Within
 a stage, windows are dealt into folds; one stays selected while a dictionary of the other folds' selected windows
@@ -42,7 +43,7 @@ from pyspark.sql import types as T
 from beaconlake.session import staged
 
 WINDOW = 32
-LEVELS = (1, 2, 3, 4)
+MOST = 8  # bytes of difference told apart
 SAMPLE = 2000
 SAMPLE_BYTES = 16 << 20
 STAGES, ROUNDS, FOLDS = 4, 3, 4
@@ -103,18 +104,18 @@ class Lengths:
 class Model:
     ordinary: bytes
     toxic: bytes
-    rates: tuple[float, ...]  # share of ordinary windows at each level
-    weights: tuple[float, ...]  # of the evidence at each level, and a constant
+    rates: tuple[float, ...]  # share of ordinary windows at each threshold from 1 to MOST
+    likelihood: tuple[float, ...]  # how much likelier each difference is in a toxic text, as a logarithm
+    weights: tuple[float, ...]  # of the features, and a constant
 
 
 def evidence(ordinary: Lengths, toxic: Lengths, text: str | None) -> np.ndarray:
-    """Windows of a text, and how many of them reach each level."""
-    counts, part = np.zeros(len(LEVELS) + 1, np.int64), []
+    """Windows of a text by their difference: none or less, 1, ... up to `MOST` bytes."""
+    counts, part = np.zeros(MOST + 1, np.int64), []
 
     def add() -> None:
-        gains = ordinary(part) - toxic(part)
-        counts[0] += len(part)
-        counts[1:] += [(gains >= level).sum() for level in LEVELS]
+        nonlocal counts
+        counts = counts + np.bincount(np.clip(ordinary(part) - toxic(part), 0, MOST), minlength=MOST + 1)
         part.clear()
 
     for window in windows(text):
@@ -126,13 +127,21 @@ def evidence(ordinary: Lengths, toxic: Lengths, text: str | None) -> np.ndarray:
     return counts
 
 
-def _features(counts: np.ndarray, rates: Sequence[float]) -> np.ndarray:
-    n, hits, p = counts[:, :1], counts[:, 1:], np.asarray(rates)
-    return np.hstack((np.arcsinh((hits - n * p) / np.sqrt(n * p + 0.3)), np.ones_like(n, float)))
+def _reaching(counts: np.ndarray) -> np.ndarray:
+    """Windows that reach each threshold from 1 on."""
+    return np.cumsum(counts[..., ::-1], -1)[..., ::-1][..., 1:]
+
+
+def _features(counts: np.ndarray, rates: Sequence[float], likelihood: Sequence[float]) -> np.ndarray:
+    n, p = counts.sum(1, keepdims=True), np.asarray(rates)
+    told = (counts @ np.asarray(likelihood))[:, None]
+    above = np.arcsinh((_reaching(counts) - n * p) / np.sqrt(n * p + 0.1))
+    return np.hstack((np.arcsinh(told), told / np.sqrt(n), above, np.ones_like(n, float)))
 
 
 def probability(model: Model, counts: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(_features(counts, model.rates) @ np.asarray(model.weights), -30, 30)))
+    found = _features(counts, model.rates, model.likelihood) @ np.asarray(model.weights)
+    return 1 / (1 + np.exp(-np.clip(found, -30, 30)))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -181,7 +190,7 @@ def _toxic_content(texts: list[list[bytes]], ordinary: Lengths, common: bytes, u
 def learn(texts: list[str], toxic: list[bool], spare: list[bool], share: float) -> Model:
     """A model from texts, their labels, which of them are for calibration, and the share of toxic texts among all."""
     share = min(max(share, 1e-4), 1 - 1e-4)
-    flat = Model(b"", b"", (0.01,) * len(LEVELS), (*[0.0] * len(LEVELS), float(np.log(share / (1 - share)))))
+    flat = Model(b"", b"", (0.01,) * MOST, (0.0,) * (MOST + 1), (*[0.0] * (MOST + 2), float(np.log(share / (1 - share)))))
     if len(set(toxic)) < 2:
         return flat
     if any(len({t for t, s in zip(toxic, spare) if s == side}) < 2 for side in (True, False)):
@@ -203,10 +212,13 @@ def learn(texts: list[str], toxic: list[bool], spare: list[bool], share: float)
     y = np.array([float(t) for t, s in zip(toxic, spare) if s])
     if not len(y):
         return flat
-    clean = counts[y == 0].sum(0)
-    rates = tuple(float((h + 0.5) / (clean[0] + 1)) for h in clean[1:])
+    clean, bad_windows = counts[y == 0].sum(0), counts[y == 1].sum(0)
+    rates = (_reaching(clean) + 0.5) / (clean.sum() + 1)
+    likelihood = np.log((bad_windows + 0.5) / (bad_windows.sum() + 0.5 * (MOST + 1)))
+    likelihood -= np.log((clean + 0.5) / (clean.sum() + 0.5 * (MOST + 1)))
     weight = np.where(y == 1, share * len(y) / max(y.sum(), 1), (1 - share) * len(y) / max((1 - y).sum(), 1))
-    return Model(plain, found, rates, tuple(float(w) for w in _logistic(_features(counts, rates), y, weight)))
+    weights = _logistic(_features(counts, rates, likelihood), y, weight)
+    return Model(plain, found, *(tuple(map(float, x)) for x in (rates, likelihood, weights)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
@@ -255,7 +267,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "tox
             counts = np.array([evidence(ordinary, toxic, t.as_py()) for t in texts])
             p = probability(held.value, counts)
             found = pa.StructArray.from_arrays(
-                [pa.array(counts[:, 0]), pa.array(counts[:, 2]), pa.array(p), pa.array((p >= SHARE).astype(np.int32))],
+                [pa.array(counts.sum(1)), pa.array(counts[:, 2:].sum(1)), pa.array(p), pa.array((p >= SHARE).astype(np.int32))],
                 names=["n_windows", "n_toxic", "score", "predicted"],
             )
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, out])
