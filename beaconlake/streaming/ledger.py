@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
+import zlib
 from collections.abc import Callable
 from typing import Any
 
@@ -81,7 +82,8 @@ def published(spark: SparkSession, path: str, name: str, work: Callable[[DataFra
         last = ledger.latest()
         if last is not None and last["batch_id"] >= batch_id:
             return
-        with scratch_scope(spark, f"batch-{name}"):
+        # The output's path tells streams of one name in different applications apart.
+        with scratch_scope(spark, f"batch-{name}-{zlib.crc32(path.encode()):08x}"):
             entry = work(batch, batch_id, last)
         ledger.publish(batch_id, entry)
 
