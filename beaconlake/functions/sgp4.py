@@ -339,13 +339,81 @@ def _rates(state: str) -> tuple[str, str, str]:
     return turn, f"({slow})", f"(({bend}) * {turn})"
 
 
+def _harmonics() -> str:
+    """The resonance terms by multiple of the longitude, for `_integrated`.
+
+    The sum of c sin(m lam + a omega - phase) is P sin(m lam) + Q cos(m lam) for each m. In class 1, P and Q are fixed;
+    in class 2 they are fixed sums over cosine and sine of omega and of 2 omega.
+    """
+    lines = [f"hp{m} = {c} * cos({m} * {ph!r})\nhq{m} = -1 * {c} * sin({m} * {ph!r})" for c, m, ph in _TERMS_1]
+    for m in (1, 2):
+
+        def total(fn: str, a: int) -> str:
+            return "(" + " + ".join(f"{c} * {fn}({ph!r})" for c, a_, m_, ph in _TERMS_2 if (a_, m_) == (a, m)) + ")"
+
+        def even(fn: str) -> str:
+            return f"{total(fn, 1)} + {total(fn, -1)}"
+
+        def odd(fn: str) -> str:
+            return f"{total(fn, 1)} - {total(fn, -1)}"
+
+        lines += [
+            f"hp{m}_0 = {total('cos', 0)}", f"hp{m}_c = {even('cos')}", f"hp{m}_s = {odd('sin')}",
+            f"hq{m}_0 = -1 * {total('sin', 0)}", f"hq{m}_c = -1 * ({even('sin')})", f"hq{m}_s = {odd('cos')}",
+            f"hd{m}_c = {total('cos', 2)}", f"hd{m}_s = {total('sin', 2)}",
+        ]
+    return "\n".join(lines)
+
+
 def _integrated() -> str:
-    """Mean motion and longitude, integrated in steps of half a day from the epoch to the last step before `t`."""
-    turn, ndot, nddot = _rates("s")
-    step = f"(sign(t) * {STEP!r})"
+    """Mean motion and longitude, integrated in steps of half a day from the epoch to the last step before `t`.
+
+    A step takes cosine and sine of the longitude, and of omega in class 2, once; multiples follow from products.
+    Arrays of one element hold what a step uses more than once.
+    """
     half = STEP * STEP / 2
+
+    def held(values: dict[str, str], name: str, use: str) -> str:
+        members = ", ".join(f"'{n}', {v}" for n, v in values.items())
+        return f"transform(array(named_struct({members})), {name} -> {use})[0]"
+
+    moved = (
+        f"named_struct('at', s.at + step, 'lam', s.lam + w.turn * step + w.ndot * {half!r}, "
+        f"'n', s.n + w.ndot * step + w.bend * w.turn * {half!r})"
+    )
+    turn = "s.n + lamdot"
+    one = held(
+        {
+            "turn": turn,
+            "ndot": "hp1 * v.sl + hq1 * v.cl + hp2 * v.s2l + hq2 * v.c2l + hp3 * (v.s2l * v.cl + v.c2l * v.sl) + hq3 * (v.c2l * v.cl - v.s2l * v.sl)",
+            "bend": "hp1 * v.cl - hq1 * v.sl + 2 * (hp2 * v.c2l - hq2 * v.s2l) "
+            "+ 3 * (hp3 * (v.c2l * v.cl - v.s2l * v.sl) - hq3 * (v.s2l * v.cl + v.c2l * v.sl))",
+        }, "w", moved,
+    )
+    one = held({"cl": "u.cl", "sl": "u.sl", "c2l": "u.cl * u.cl - u.sl * u.sl", "s2l": "2 * u.sl * u.cl"}, "v", one)
+    one = held({"cl": "cos(s.lam)", "sl": "sin(s.lam)"}, "u", one)
+    two = held(
+        {
+            "turn": turn,
+            "ndot": "v.p1 * v.sl + v.q1 * v.cl + v.p2 * v.s2l + v.q2 * v.c2l",
+            "bend": "v.p1 * v.cl - v.q1 * v.sl + 2 * (v.p2 * v.c2l - v.q2 * v.s2l)",
+        }, "w", moved,
+    )
+    sums = {
+        f"{x}{m}": f"h{x}{m}_0 + h{x}{m}_c * u.c + h{x}{m}_s * u.s + " + form.format(m=m)
+        for m in (1, 2)
+        for x, form in (("p", "hd{m}_c * u.c2 + hd{m}_s * u.s2"), ("q", "hd{m}_c * u.s2 - hd{m}_s * u.c2"))
+    }
+    two = held({"cl": "u.cl", "sl": "u.sl", "c2l": "u.cl * u.cl - u.sl * u.sl", "s2l": "2 * u.sl * u.cl", **sums}, "v", two)
+    two = held(
+        {"cl": "o.cl", "sl": "o.sl", "c": "o.c", "s": "o.s", "c2": "o.c * o.c - o.s * o.s", "s2": "2 * o.s * o.c"}, "u", two
+    )
+    omega = "argp + argpdot * s.at"
+    two = held({"cl": "cos(s.lam)", "sl": "sin(s.lam)", "c": f"cos({omega})", "s": f"sin({omega})"}, "o", two)
+    steps = f"CASE WHEN abs(t) >= {STEP!r} THEN sequence(1, CAST(floor(abs(t) / {STEP!r}) AS INT)) ELSE CAST(array() AS ARRAY<INT>) END"
+    start = "named_struct('at', 0.0, 'lam', lam0, 'n', no)"
     return f"""
-res = aggregate(CASE WHEN class > 0 AND abs(t) >= {STEP!r} THEN sequence(1, CAST(floor(abs(t) / {STEP!r}) AS INT)) ELSE CAST(array() AS ARRAY<INT>) END, named_struct('at', 0.0, 'lam', lam0, 'n', no), (s, i) -> named_struct('at', s.at + {step}, 'lam', s.lam + {turn} * {step} + {ndot} * {half!r}, 'n', s.n + {ndot} * {step} + {nddot} * {half!r}))
+res = CASE class WHEN 1 THEN aggregate({steps}, {start}, (s, i) -> {one}) WHEN 2 THEN aggregate({steps}, {start}, (s, i) -> {two}) ELSE {start} END
 """
 
 
@@ -504,6 +572,7 @@ def at_minutes(orbits: DataFrame, minutes: str, gravity: Gravity = WGS84) -> Dat
     """Positions of orbits with their constants, `minutes` after the epoch of the elements."""
     df = orbits.withColumn("t", F.expr(f"CASE WHEN usable THEN CAST({minutes} AS DOUBLE) END"))
     df = _stage(df, _SECULAR)
+    df = _stage(df, f"step = sign(t) * {STEP!r}\n" + _harmonics(), "deep")
     df = _stage(df, _integrated(), "deep")
     df = _stage(df, _resonant(), "deep")
     df = _stage(df, _drag(gravity))

@@ -46,9 +46,14 @@ def ground(rows: DataFrame, at: Column, gmst_offset_deg: float = 0.0) -> DataFra
 
 
 def positions_at(element_sets: DataFrame, at: Column, gravity: sgp4.Gravity = sgp4.WGS84) -> DataFrame:
-    """Position of every satellite at an instant, NaN where elements or model fail."""
+    """Position of every satellite at an instant, NaN where elements or model fail.
+
+    Element sets are few bytes, but one far from its epoch is much work: they are dealt out over
+    `spark.sql.shuffle.partitions` tasks, however few their bytes.
+    """
     given = element_sets.columns
-    timed = tle.elements(element_sets).withColumn("at", at.cast("timestamp"))
+    dealt = element_sets.repartition(int(element_sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    timed = tle.elements(dealt).withColumn("at", at.cast("timestamp"))
     timed = timed.withColumn("at_day", days_since_2000(F.col("at")))
     moved = sgp4.propagate(timed, "(at_day - epoch_day) * 1440.0D", gravity)
     extra = [] if "at" in given else ["at"]

@@ -88,3 +88,39 @@ def test_longitude_wraps_and_offset(spark):
     assert math.isnan(got[3][0])
     shifted = orbits.ground(rows, noon, 280.46062).first()
     assert shifted.longitude == pytest.approx(360 - 280.46062)
+
+
+def test_few_sets_far_from_their_epoch(spark):
+    """Few bytes but much work: dealt out over all tasks."""
+    from beaconlake.plans.orbit_queries import PUBLISHED
+
+    rows = [(i, PUBLISHED[i % 4][0], PUBLISHED[i % 4][1]) for i in range(64)]
+    frame = spark.createDataFrame(rows, "key long, tle_line1 string, tle_line2 string").coalesce(1)
+    at = F.lit("2008-06-27 00:00:00").cast("timestamp")
+    found = orbits.positions_at(frame, at, sgp4.WGS72)
+    tasks = found.groupBy(F.spark_partition_id()).count().count()
+    assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_harmonics_are_the_terms_of_the_resonance(spark):
+    """The sums of the stepped integration against the terms one by one, in both classes."""
+    import random
+
+    names = [c for c, *_ in sgp4._TERMS_1 + sgp4._TERMS_2]
+    pick = random.Random(3)
+    rows = [[*(pick.uniform(-1e-6, 1e-6) for _ in names), *(pick.uniform(0, 6) for _ in range(2)), pick.uniform(-1e-5, 1e-5), pick.uniform(0, 6), 0.0087, 1e-4, k, 720.0 * n * (-1) ** n]
+            for n, k in [(n, k) for n in range(7) for k in (1, 2)]]
+    columns = [*names, "argp", "mean", "argpdot", "lam0", "no", "lamdot", "class", "t"]
+    df = spark.createDataFrame(rows, columns)
+    df = sgp4._stage(sgp4._stage(df, f"step = sign(t) * {sgp4.STEP!r}\n" + sgp4._harmonics()), sgp4._integrated())
+    for r in df.collect():
+        at, lam, n = 0.0, r.lam0, r.no
+        for _ in range(int(abs(r.t) // sgp4.STEP)):
+            omega = r.argp + r.argpdot * at
+            terms = sgp4._TERMS_1 if r["class"] == 1 else sgp4._TERMS_2
+            angles = [(t[0], t[-2], t[1] * (lam - t[2]) if len(t) == 3 else t[1] * omega + t[2] * lam - t[3]) for t in terms]
+            ndot = sum(r[c] * math.sin(angle) for c, _, angle in angles)
+            turn = n + r.lamdot
+            nddot = sum(m * r[c] * math.cos(angle) for c, m, angle in angles) * turn
+            at, lam, n = (at + r.step, lam + turn * r.step + ndot * sgp4.STEP**2 / 2, n + ndot * r.step + nddot * sgp4.STEP**2 / 2)
+        assert (r.res.at, r.res.lam, r.res.n) == pytest.approx((at, lam, n), rel=1e-11)
