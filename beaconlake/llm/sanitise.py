@@ -11,8 +11,8 @@ occurs with c only. Estimates from few sightings are too high, so p(t, c) is dis
 off its count. No entity or term is left out for being rare: one sighting of a word that occurs nowhere else tells
 1 - log(4) / log(n) of an entity mentioned once, two tell 1 - log(1.6) / log(n / 2). A term whose disclosure of any
 entity reaches `GENERALISED` is marked wherever it stands, with or without the entity: it is generalised to its first
-letter, or removed if the disclosure reaches `REMOVED`. Words of one or two small letters are never marked; such words
-with a capital are.
+letter, or removed if the disclosure reaches `REMOVED`. With `small_words`, as in the query, that holds for every word;
+without, words of one or two small letters are not marked; such words with a capital are.
 
 A null text is empty. Rows that repeat are documents of their own. No documents give no rows. Spans are in code points,
 end exclusive. A term within personal data is part of that and no span of its own.
@@ -159,17 +159,17 @@ def disclosing_terms(
     return known.where(F.col("disclosure") >= threshold).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
 
 
-def _placed(text: Column) -> Column:
+def _placed(text: Column, small_words: bool) -> Column:
     """The words of a text with their places: `array<struct<offset, words: array<struct<term, start, length>>>>`.
 
     Places are added up within blocks of `BLOCK` words, and then over the blocks, as appending to an array copies it.
-    `term` is null for words that are never marked.
+    `term` is null for words that are not marked: those of one or two small letters, unless `small_words`.
     """
     words = F.transform(
         _parted(text, _WORD),
         lambda p: F.struct(
             F.length(p["lead"]).alias("lead"), F.length(p["value"]).alias("length"),
-            F.when(~p["value"].rlike(_SMALL), F.lower(p["value"])).alias("term"),
+            (F.lower(p["value"]) if small_words else F.when(~p["value"].rlike(_SMALL), F.lower(p["value"]))).alias("term"),
         ),
     )
     none = "array<struct<term: string, start: int, length: int>>"
@@ -201,10 +201,10 @@ def _placed(text: Column) -> Column:
     return F.element_at(F.transform(F.array(words), lambda w: blocks(parted(w))), 1)
 
 
-def _occurrences(texts: DataFrame, telling: DataFrame, frequent: DataFrame) -> DataFrame:
+def _occurrences(texts: DataFrame, telling: DataFrame, frequent: DataFrame, small_words: bool) -> DataFrame:
     """(row, term, disclosure, start, end): every place of the disclosing terms in the texts."""
     silent = staged(frequent.select("term").join(telling, "term", "left_anti"), "silent")
-    held = texts.select("row", F.explode(_placed(F.col("text"))).alias("b")).select("row", F.col("b.offset").alias("offset"), F.explode("b.words").alias("w"))
+    held = texts.select("row", F.explode(_placed(F.col("text"), small_words)).alias("b")).select("row", F.col("b.offset").alias("offset"), F.explode("b.words").alias("w"))
     begin = (F.col("offset") + F.col("w.start")).cast("long")
     words = held.select("row", F.col("w.term").alias("term"), begin.alias("start"), (begin + F.col("w.length")).alias("end"))
     words = words.where(F.col("term").isNotNull()).join(F.broadcast(silent), "term", "left_anti")
@@ -223,9 +223,12 @@ def _apart(places: DataFrame, base: DataFrame) -> DataFrame:
 
 def find(
     docs: DataFrame, discount: float = DISCOUNT, generalised: float = GENERALISED, removed: float = REMOVED,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", small_words: bool = False,
 ) -> DataFrame:
-    """(doc_id, spans, text): spans of kind, start, end and replacement by kind and start; `text` is null without spans."""
+    """(doc_id, spans, text): spans of kind, start, end and replacement by kind and start; `text` is null without spans.
+
+    `small_words` marks disclosing words of one or two small letters, too.
+    """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest")
     rows = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", digest, *[_found(k).alias(f"found_{k}") for k in PATTERNS])
@@ -240,7 +243,7 @@ def find(
     frequent = staged(_frequent(held), "frequent")
     mentions = base.select("row", entity.alias("entity"))
     telling = staged(disclosing_terms(once.select("row", "text"), mentions, held, frequent, firsts.count(), discount, generalised), "telling")
-    apart = _apart(_occurrences(once.select("row", "text"), telling, frequent), base)
+    apart = _apart(_occurrences(once.select("row", "text"), telling, frequent, small_words), base)
     shown = F.when(F.col("disclosure") >= removed, "").otherwise(F.concat(F.substring("term", 1, 1), F.lit("*")))
     spans = base.select("row", "kind", "start", "end", F.concat(F.lit("["), F.upper("kind"), F.lit("]")).alias("replacement")).unionByName(
         apart.select("row", F.lit("term").alias("kind"), "start", "end", shown.alias("replacement"))

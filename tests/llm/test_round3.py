@@ -262,6 +262,20 @@ def test_windows_cover_all_letters():
 # -- sanitising long texts
 
 
+def test_small_words_that_disclose(docs, tmp_path, spark):
+    """The query marks every word that gives an entity away, however short; common short words stay."""
+    rows = [(i, f"note {i} by zq at z@corp.example") for i in range(5)] + [(5, "zq is at home")]
+    rows += [(10 + i, f"someone is at home by note {i}") for i in range(1500)]
+    docs(*rows).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in queries.QUERIES["op6_sanitise"](spark, str(tmp_path)).collect()}
+    for i in range(5):
+        text = rows[i][1]
+        places = [s.split(":") for s in found[i].spans.split(",")]
+        assert [(k, text[int(a) : int(b)]) for k, a, b in places] == [("email", "z@corp.example"), ("term", "zq")]
+    assert found[5].spans == "term:0:2" and found[5].sanitised_text == "z* is at home"
+    assert not any(found[10 + i].spans for i in range(1500))
+
+
 def test_terms_of_a_text_with_many_different_words(docs):
     """Every word stands here alone, so each is marked where it stands; time must not grow with the square of the text."""
     pick = random.Random(9)
