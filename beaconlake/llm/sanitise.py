@@ -38,7 +38,7 @@ DISCOUNT = 0.75
 GENERALISED = 0.8
 REMOVED = 0.95
 FREQUENT = 1 << 16
-BLOCK = 256  # words whose places are added up together
+BLOCK = 32  # words whose places are added up together
 KINDS = ("email", "ip", "card", "phone", "term")
 _LOCAL = "[A-Za-z0-9._%+-]"
 _LABEL = "[A-Za-z0-9-]++"
@@ -110,6 +110,15 @@ def base_spans(rows: DataFrame) -> DataFrame:
     return spans.where(valid).select("row", "kind", "value", F.col("start").cast("long"), F.col("end").cast("long"))
 
 
+def _may_hold() -> Column:
+    """A cheap test on `found` that a text can have personal data: matches too short for enough digits do not count."""
+
+    def held(kind: str, least: int) -> Column:
+        return F.exists(f"found_{kind}", lambda m: F.length(m["value"]) >= least)
+
+    return held("email", 1) | held("ip", 1) | held("card", 13) | held("phone", 10)
+
+
 def _words(text: Column) -> Column:
     """The words of a text in lower case, each once."""
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)), F.lower))
@@ -159,56 +168,49 @@ def disclosing_terms(
     return known.where(F.col("disclosure") >= threshold).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
 
 
-def _placed(text: Column, small_words: bool) -> Column:
-    """The words of a text with their places: `array<struct<offset, words: array<struct<term, start, length>>>>`.
+def _placed(text: Column) -> Column:
+    """The words of a text with their places: `array<struct<word: struct<lead, value>, start: int>>`.
 
-    Places are added up within blocks of `BLOCK` words, and then over the blocks, as appending to an array copies it.
-    `term` is null for words that are not marked: those of one or two small letters, unless `small_words`.
+    Places are added up in blocks of `BLOCK` words, as appending to an array copies it. Nothing else is done to a word
+    here: rows are cheaper to work on than elements of an array.
     """
-    words = F.transform(
-        _parted(text, _WORD),
-        lambda p: F.struct(
-            F.length(p["lead"]).alias("lead"), F.length(p["value"]).alias("length"),
-            (F.lower(p["value"]) if small_words else F.when(~p["value"].rlike(_SMALL), F.lower(p["value"]))).alias("term"),
-        ),
-    )
-    none = "array<struct<term: string, start: int, length: int>>"
-
-    def block(part: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(none).alias("words"))
+    none = "array<int>"
 
-        def step(state: Column, w: Column) -> Column:
-            begin = state["at"] + w["lead"]
-            word = F.struct(w["term"].alias("term"), begin.alias("start"), w["length"].alias("length"))
-            return F.struct((begin + w["length"]).alias("at"), F.array_append(state["words"], word).alias("words"))
+    def starts(words: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(words) - 1) / BLOCK).cast("int"))
+        first = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{none}>").alias("blocks"))
 
-        return F.aggregate(part, start, step)
+        def one(state: Column, w: Column) -> Column:
+            begin = state["at"] + F.length(w["lead"])
+            return F.struct((begin + F.length(w["value"])).alias("at"), F.array_append(state["starts"], begin).alias("starts"))
 
-    def parted(all_words: Column) -> Column:
-        numbers = F.sequence(F.lit(0), F.floor((F.size(all_words) - 1) / BLOCK).cast("int"))
-        return F.when(F.size(all_words) > 0, F.transform(numbers, lambda b: F.slice(all_words, b * BLOCK + 1, F.lit(BLOCK))))
+        def block(state: Column, number: Column) -> Column:
+            part = F.slice(words, number * BLOCK + 1, F.lit(BLOCK))
+            done = F.aggregate(part, F.struct(state["at"].alias("at"), F.array().cast(none).alias("starts")), one)
+            # The one-element array keeps the block from being made again for each use.
+            return F.element_at(
+                F.transform(F.array(done), lambda d: F.struct(d["at"].alias("at"), F.array_append(state["blocks"], d["starts"]).alias("blocks"))), 1
+            )
 
-    def blocks(parts: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<struct<offset: int, words: {none}>>").alias("blocks"))
+        return F.flatten(F.aggregate(numbers, first, block, lambda state: state["blocks"]))
 
-        def step(state: Column, b: Column) -> Column:
-            one = F.struct(state["at"].alias("offset"), b["words"].alias("words"))
-            return F.struct((state["at"] + b["at"]).alias("at"), F.array_append(state["blocks"], one).alias("blocks"))
+    def placed(words: Column) -> Column:
+        return F.when(F.size(words) > 0, F.arrays_zip(words.alias("word"), starts(words).alias("start")))
 
-        return F.aggregate(F.transform(parts, block), start, step, lambda state: state["blocks"])
-
-    # The one-element arrays keep the words and their blocks from being made again for each use.
-    return F.element_at(F.transform(F.array(words), lambda w: blocks(parted(w))), 1)
+    return F.element_at(F.transform(F.array(_parted(text, _WORD)), placed), 1)
 
 
 def _occurrences(texts: DataFrame, telling: DataFrame, frequent: DataFrame, small_words: bool) -> DataFrame:
     """(row, term, disclosure, start, end): every place of the disclosing terms in the texts."""
     silent = staged(frequent.select("term").join(telling, "term", "left_anti"), "silent")
-    held = texts.select("row", F.explode(_placed(F.col("text"), small_words)).alias("b")).select("row", F.col("b.offset").alias("offset"), F.explode("b.words").alias("w"))
-    begin = (F.col("offset") + F.col("w.start")).cast("long")
-    words = held.select("row", F.col("w.term").alias("term"), begin.alias("start"), (begin + F.col("w.length")).alias("end"))
-    words = words.where(F.col("term").isNotNull()).join(F.broadcast(silent), "term", "left_anti")
-    return words.join(telling, "term").select("row", "term", "disclosure", "start", "end")
+    held = texts.select("row", F.explode(_placed(F.col("text"))).alias("w")).select(
+        "row", F.col("w")["word"]["value"].alias("value"), F.col("w")["start"].cast("long").alias("start")
+    )
+    words = held.select("row", "value", F.lower("value").alias("term"), "start", (F.col("start") + F.length("value")).alias("end"))
+    words = words.join(F.broadcast(silent), "term", "left_anti")
+    if not small_words:
+        words = words.where(~F.col("value").rlike(_SMALL))
+    return words.drop("value").join(telling, "term").select("row", "term", "disclosure", "start", "end")
 
 
 def _apart(places: DataFrame, base: DataFrame) -> DataFrame:
@@ -232,7 +234,7 @@ def find(
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest")
     rows = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", digest, *[_found(k).alias(f"found_{k}") for k in PATTERNS])
-    rows = staged(rows, "personal")
+    rows = staged(rows, "personal", compression="zstd")
     firsts = staged(rows.groupBy("digest").agg(F.min("row").alias("row")), "firsts")
     copies = staged(rows.select("row").join(firsts, "row", "left_anti"), "copies")
     once = rows.join(copies, "row", "left_anti")
@@ -242,7 +244,8 @@ def find(
     held = staged(once.select(F.explode(_words(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("documents")), "terms")
     frequent = staged(_frequent(held), "frequent")
     mentions = base.select("row", entity.alias("entity"))
-    telling = staged(disclosing_terms(once.select("row", "text"), mentions, held, frequent, firsts.count(), discount, generalised), "telling")
+    holding = once.where(_may_hold()).select("row", "text")
+    telling = staged(disclosing_terms(holding, mentions, held, frequent, firsts.count(), discount, generalised), "telling")
     apart = _apart(_occurrences(once.select("row", "text"), telling, frequent, small_words), base)
     shown = F.when(F.col("disclosure") >= removed, "").otherwise(F.concat(F.substring("term", 1, 1), F.lit("*")))
     spans = base.select("row", "kind", "start", "end", F.concat(F.lit("["), F.upper("kind"), F.lit("]")).alias("replacement")).unionByName(
