@@ -97,7 +97,7 @@ def test_scores_in_plain_python(docs, monkeypatch):
         key = pitman_yor._pair(np.array([context], np.uint64), np.array([dish], np.uint64))
         return pitman_yor.seat(np.array([n]), np.array([new]), d, pitman_yor._chance(key, sweep))[0]
 
-    seated, at_parent, states = dict.fromkeys(counts, 1), dict.fromkeys(dishes, 1), []
+    seated, states = dict.fromkeys(counts, 1), []
     for sweep in range(pitman_yor.SWEEPS + 1):
         if sweep:
             of_context, share = states[-1][2], states[-1][3]
@@ -106,9 +106,10 @@ def test_scores_in_plain_python(docs, monkeypatch):
         for (v, w), t in seated.items():
             eating[w] += int(t)
             of_context[v] += t
-        if sweep:
+        at_parent = dict.fromkeys(dishes, 1)
+        for turn in range(1, pitman_yor.SWEEPS + 1):
             new = (1 + d * sum(at_parent.values())) * uniform
-            at_parent = {w: tables(eating[w], new, 0, name(w), sweep) for w in dishes}
+            at_parent = {w: tables(eating[w], new, 0, name(w), sweep | turn << 8) for w in dishes}
         total, opened = sum(eating.values()), sum(at_parent.values())
 
         def share(w, eating=eating, at_parent=at_parent, total=total, opened=opened):
